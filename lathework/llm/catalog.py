@@ -5,18 +5,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lathework.llm.history import known_questions
+from lathework.llm.leaks import leaked_items
+from lathework.llm.ledger import formatting_duplicates
 from lathework.llm.near_duplicates import near_duplicate_groups
 from lathework.sources.tables import table
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    got = leaked_items(table(spark, d, "hot_vectors"), "knowledge_id", "question", table(spark, d, "benchmark"), "id", ["question", "reference"])
+    return got.select(F.col("item_id").alias("id"), F.col("id").alias("knowledge_id"))
+
+
+def _p4(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = table(spark, d, "hot_vectors").withColumn("month", F.date_format("embedded_at", "yyyy-MM"))
+    return formatting_duplicates(rows, "knowledge_id", "question", "month")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p4(spark, d)[1]
+
+
+def p4_records(spark: SparkSession, d: str) -> DataFrame:
+    return _p4(spark, d)[0]
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     got = near_duplicate_groups(table(spark, d, "hot_vectors"), "knowledge_id", ["question", "answer"], k=3, threshold=0.5)
     return got.withColumnRenamed("id", "knowledge_id")
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    got = known_questions(table(spark, d, "hot_vectors"), "knowledge_id", "question", table(spark, d, "daily_lessons"), "lesson_id", "lesson_day", "question", k=2, threshold=0.6)
+    return got.withColumnRenamed("id", "lesson_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": p5_found}
+    return {f.__name__: f for f in (p2_found, p4_found, p4_records, p5_found, p6_found)}
 
 
 def oracle_sql() -> dict[str, str]:
