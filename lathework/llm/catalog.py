@@ -8,17 +8,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lathework.llm.history import known_questions
+from lathework.llm.languages import fit_languages, language_passages, mislabelled
 from lathework.llm.leaks import leaked_items
 from lathework.llm.ledger import formatting_duplicates
 from lathework.llm.near_duplicates import near_duplicate_groups
+from lathework.llm.pairs import broken_pairs
 from lathework.sources.tables import table
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return mislabelled(table(spark, d, "daily_lessons"), "lesson_id", "answer", "lang").withColumnRenamed("id", "lesson_id")
+
+
+def p1_passages(spark: SparkSession, d: str) -> DataFrame:
+    lessons = table(spark, d, "daily_lessons")
+    got = language_passages(lessons, "lesson_id", "answer", fit_languages(lessons, "lesson_id", "answer", "lang"))
+    return got.select(F.col("id").alias("lesson_id"), F.posexplode("passages").alias("passage", "p")).select("lesson_id", "passage", "p.lang", "p.confidence", F.length("p.text").alias("n_chars"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     got = leaked_items(table(spark, d, "hot_vectors"), "knowledge_id", "question", table(spark, d, "benchmark"), "id", ["question", "reference"])
     return got.select(F.col("item_id").alias("id"), F.col("id").alias("knowledge_id"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return broken_pairs(table(spark, d, "daily_lessons"), "lesson_id", "question", "answer", "lang").withColumnRenamed("id", "lesson_id")
+
+
 def _p4(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     rows = table(spark, d, "hot_vectors").withColumn("month", F.date_format("embedded_at", "yyyy-MM"))
     return formatting_duplicates(rows, "knowledge_id", "question", "month")
@@ -43,7 +59,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p4_found, p4_records, p5_found, p6_found)}
+    return {f.__name__: f for f in (p1_found, p1_passages, p2_found, p3_found, p4_found, p4_records, p5_found, p6_found)}
 
 
 def oracle_sql() -> dict[str, str]:
