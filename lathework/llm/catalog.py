@@ -11,8 +11,11 @@ from lathework.llm.history import known_questions
 from lathework.llm.languages import fit_languages, language_passages, mislabelled
 from lathework.llm.leaks import leaked_items
 from lathework.llm.ledger import formatting_duplicates
+from lathework.llm.mixture import mix
 from lathework.llm.near_duplicates import near_duplicate_groups
 from lathework.llm.pairs import broken_pairs
+from lathework.llm.subjects import fit_subjects, subject_areas
+from lathework.llm.tokens import token_ids
 from lathework.sources.tables import table
 
 
@@ -58,8 +61,38 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return got.withColumnRenamed("id", "lesson_id")
 
 
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return token_ids(table(spark, d, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
+def _p8(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), "doc_id", "text", "source")
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    return _p8(spark, d)[0].withColumnRenamed("id", "doc_id")
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _p8(spark, d)[1]
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    model = fit_subjects(docs, table(spark, d, "doc_subjects"), "doc_id", "text", "source", "subject", "lang")
+    return subject_areas(docs, "doc_id", "text", "source", model).select(F.col("id").alias("doc_id"), "subject")
+
+
+def p9_composition(spark: SparkSession, d: str) -> DataFrame:
+    """The corpus by subject: documents and their characters."""
+    docs = table(spark, d, "documents").select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("n"))
+    got = p9_found(spark, d).join(docs, "doc_id")
+    return got.groupBy("subject").agg(F.count("*").alias("documents"), F.sum("n").alias("chars"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_passages, p2_found, p3_found, p4_found, p4_records, p5_found, p6_found)}
+    fs = (p1_found, p1_passages, p2_found, p3_found, p4_found, p4_records, p5_found, p6_found, p7_ids, p8_mix, p8_shares, p9_found, p9_composition)
+    return {f.__name__: f for f in fs}
 
 
 def oracle_sql() -> dict[str, str]:
