@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from lathework.plans import corpus
+
+PARTS = [corpus.QUERIES]
+
 
 def queries() -> dict:
-    return {}
+    return {k: f for part in PARTS for k, (f, _) in part.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: sql for part in PARTS for k, (_, sql) in part.items() if sql}
