@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lathework.plans import corpus
+from lathework.plans import analytics, corpus, relational
 
-PARTS = [corpus.QUERIES]
+PARTS = [corpus.QUERIES, analytics.QUERIES, relational.QUERIES]
 
 
 def queries() -> dict:

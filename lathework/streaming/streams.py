@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,14 +18,17 @@ def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int =
 
 
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table's file(s) as a stream. A single file is watched through its folder by name."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    import os
+    """A table's file(s) as a stream; times without zone become times, which watermarks need.
 
+    A single file is watched through its folder by name.
+    """
     path = f"{folder}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
     if os.path.isdir(path):
-        return read_stream(spark, path, schema)
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+        df = read_stream(spark, path, schema)
+    else:
+        df = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    return df.withColumns({f.name: F.col(f.name).cast("timestamp") for f in schema if f.dataType.typeName() == "timestamp_ntz"})
 
 
 def drain(stream: DataFrame, mode: str = "append", name: str = "drain") -> DataFrame:
@@ -56,7 +60,7 @@ def first_seen(stream: DataFrame, key: list[str], time_col: str, delay: str = "9
 def windowed_counts(stream: DataFrame, time_col: str, by: list[str], width: str, slide: str | None = None, delay: str = "2 days") -> DataFrame:
     """Rows per window of event time and ``by``; late rows count until the watermark passes."""
     w = F.window(time_col, width, slide) if slide else F.window(time_col, width)
-    return stream.withWatermark(time_col, delay).groupBy(w.alias("w"), *by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *by, "n")
+    return stream.withWatermark(time_col, delay).groupBy(w.alias("w"), *by).agg(F.count("*").alias("n")).select(F.col("w.start").cast("timestamp_ntz").alias("start"), F.col("w.end").cast("timestamp_ntz").alias("end"), *by, "n")
 
 
 def sessions(df: DataFrame, time_col: str, by: list[str], gap: str = "30 minutes") -> DataFrame:
