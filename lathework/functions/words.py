@@ -28,6 +28,17 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(norm(text))
 
 
+# ASCII: capitals to small letters, all but letters and digits to blanks
+_ASCII = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+
+
+def word_bytes(text: str | None) -> list[bytes] | list[str]:
+    """``words``, as bytes where the text is ASCII (several times faster)."""
+    if text and text.isascii():
+        return text.encode().translate(_ASCII).split()
+    return words(text)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of uint64 values."""
     x = (x ^ (x >> _S29)) * _MULT[1]
@@ -45,7 +56,7 @@ class Shingler:
     def __init__(self, k: int, cache: int = 1 << 19):
         self.k, self.limit, self.cache = k, cache, {}
 
-    def _ids(self, ws: list[str]) -> list[int]:
+    def _ids(self, ws: list[bytes] | list[str]) -> list[int]:
         c = self.cache
         if len(c) > self.limit:
             c.clear()
@@ -60,7 +71,7 @@ class Shingler:
     def sets(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         k, ids, n = self.k, [], np.empty(len(texts), np.int64)
         for i, t in enumerate(texts):
-            w = self._ids(words(t))
+            w = self._ids(word_bytes(t))
             n[i] = len(w)
             if len(w) < k:  # one run, of its own length
                 w = w + [len(w) + 1] * (k - len(w))
