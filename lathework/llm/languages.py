@@ -36,14 +36,14 @@ def language_code(label: str | None) -> str | None:
 def named_code(label: Column) -> Column:
     """``language_code`` as a column expression."""
     key = F.split(F.lower(F.trim(F.coalesce(label, F.lit("")))), r"[-_\s(]").getItem(0)
-    return F.create_map(*[F.lit(x) for kv in _NAMED.items() for x in kv]).getItem(key)
+    return F.create_map(*[F.lit(x) for kv in _NAMED.items() for x in kv])[key]
 
 
 def _bare(sentence: str) -> str:
     """What is classified of a sentence: letters, without quoted terms."""
     s = unicodedata.normalize("NFKC", sentence)
     t = _QUOTED.sub(" ", s)
-    if len(t) * 3 < len(s):
+    if len(_OTHER.sub(" ", t).split()) < 2:  # all of it is quoted
         t = s
     return _OTHER.sub(" ", t.lower()).strip()
 
@@ -173,7 +173,7 @@ class LanguageModel:
                 out.append([(None, 0.0)] * len(t))
                 continue
             main = int(np.argmax((np.maximum(s[known], 0) * n[known, None]).sum(0)))
-            two = np.sort(s, 1)
+            two = np.sort(np.c_[np.full(len(s), -1.0), s], 1)
             sure = np.where(two[:, -1] > 0, 1 - np.maximum(two[:, -2], 0) / np.maximum(two[:, -1], 1e-6), 0)
             got = []
             for i in range(len(t)):

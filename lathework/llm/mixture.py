@@ -26,8 +26,8 @@ def plan(sizes: list[dict], targets: list[dict], total: float | None = None, sch
     """What each source has to give: ``demand`` in tokens, and its schedule as knots of cumulated demand.
 
     ``total`` None stands for the largest size at which every source that has documents meets its share within
-    max_repeats; a larger total leaves sources that are used up below their share. Shares of sources without documents can't be
-    given and aren't handed to others. A schedule is a list of (time in 0..1, weight), linear between; it is scaled to
+    max_repeats; a larger total leaves sources that are used up below their share. Where a source has no documents the mix is
+    smaller by its share, so the others come out above theirs in the same proportion. A schedule is a list of (time in 0..1, weight), linear between; it is scaled to
     its source's share. Without one, sources of more repeats than the average rise in weight and the others fall, such that at
     any time the weights sum to the same.
     """
@@ -41,8 +41,8 @@ def plan(sizes: list[dict], targets: list[dict], total: float | None = None, sch
     most = max((abs(r["max_repeats"] - mean) for r in live), default=0) or 1.0
     for r in rows:
         r["demand"] = min(total * r["target_share"], float(r["tokens"] * r["max_repeats"])) if r in live else 0.0
-        tilt = 0.6 * (r["max_repeats"] - mean) / most
-        knots = sorted((schedules or {}).get(r["source"]) or [(0.0, 1 - tilt), (1.0, 1 + tilt)])
+        tilt = 0.6 * max(-1.0, min(1.0, (r["max_repeats"] - mean) / most))
+        knots = sorted((float(t), float(w)) for t, w in (schedules or {}).get(r["source"]) or [(0.0, 1 - tilt), (1.0, 1 + tilt)])
         area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(knots, knots[1:]))
         if area <= 0 or min(w for _, w in knots) < 0 or knots[0][0] != 0 or knots[-1][0] != 1:
             raise ValueError(f"the schedule of {r['source']} must cover 0..1 with weights of 0 or more, not all 0")

@@ -4,18 +4,15 @@ from __future__ import annotations
 
 import unicodedata
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from lathework.functions.words import norm, words
+from lathework.functions.words import words
 from lathework.llm.endings import Endings
 from lathework.llm.languages import LanguageModel, fit_languages, prose
 from lathework.llm.sentences import STOPS, sentences
-from lathework.session import materialise
 
 # What stands for no answer.
 PLACEHOLDERS = {
@@ -155,10 +152,6 @@ def fit_endings(df: DataFrame, id_col: str, answer_col: str, sample: int = 4000)
     return Endings.fit(got)
 
 
-def _prefix_key(text: str) -> str:
-    return norm(text)[:40]
-
-
 def _neighbours(batches):
     """Of distinct answers sorted within their keys: the next answer's continuation where this one is its beginning."""
     hold: tuple[str, str] | None = None  # key and text that waits for its successor
@@ -198,12 +191,15 @@ def continued_answers(df: DataFrame, answer_col: str) -> DataFrame:
 def length_limits(df: DataFrame, answer_col: str, least: int = 30, ratio: float = 8.0) -> list[int]:
     """Lengths at which unfinished answers pile up: ``ratio`` times the median of the 40 lengths around, and ``least``.
 
-    All answers are counted; the counts of lengths are few and come to the driver.
+    All answers are counted; only the lengths that stand out come to the driver.
     """
     t = F.rtrim(F.col(answer_col))
     open_ = ~F.substring(t, -1, 1).isin(list(STOPS)) & (F.length(t) > 60)
-    got = dict(df.where(open_).groupBy(F.length(F.col(answer_col)).alias("n")).count().where(f"count >= {least} or n < 20000").collect())
-    return [n for n, c in got.items() if c >= least and c >= ratio * max(1, float(np.median([got.get(n + d, 0) for d in range(-20, 21) if d])))]
+    counts = df.where(open_).groupBy(F.length(F.col(answer_col)).alias("n")).agg(F.count("*").alias("c"))
+    high = counts.where(F.col("c") >= least)
+    around = high.select(F.col("n").alias("at"), F.col("c").alias("mine"), F.explode(F.sequence(F.col("n") - 20, F.col("n") + 20)).alias("n")).where("n <> at")
+    near = around.join(counts, "n", "left").groupBy("at", "mine").agg(F.percentile(F.coalesce("c", F.lit(0)), 0.5).alias("usual"))
+    return sorted(r["at"] for r in near.where(F.col("mine") >= ratio * F.greatest(F.col("usual"), F.lit(1.0))).select("at").collect())
 
 
 def broken_pairs(df: DataFrame, id_col: str, question_col: str, answer_col: str, label_col: str | None = None, languages: LanguageModel | None = None, endings: Endings | None = None) -> DataFrame:
