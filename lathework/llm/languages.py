@@ -43,7 +43,7 @@ def _bare(sentence: str) -> str:
     """What is classified of a sentence: letters, without quoted terms."""
     s = unicodedata.normalize("NFKC", sentence)
     t = _QUOTED.sub(" ", s)
-    if len(_OTHER.sub(" ", t).split()) < 2:  # all of it is quoted
+    if len(_OTHER.sub(" ", t).split()) < 3:  # all of it is quoted
         t = s
     return _OTHER.sub(" ", t.lower()).strip()
 

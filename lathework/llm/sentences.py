@@ -4,16 +4,25 @@ from __future__ import annotations
 
 import regex
 
-# A stop ends a sentence before a blank or the end; a line break always does. The danda needs no blank.
+# A stop ends a sentence before a blank or the end, and so does a line break that isn't a mere wrap. The danda needs no blank.
 _CUT = regex.compile(r"(?<=[.!?。！？．…][\"”»'’*_)\]]{0,3})\s+|(?<=[।॥])\s*|\s*[\r\n]+\s*")
+_HEADING = regex.compile(r"(?m)^([ \t]*#+[ \t].*)$")
+_WRAP = regex.compile(r"(?<=[^\s.!?।॥。！？．…:>|*_}\]\"”»])[ \t]*\r?\n[ \t]*(?!\s*(?:[-*•>#<|]|\d+[.)]\s|\p{L}{1,15}\s?:|[\r\n]|$))")
 _BULLET = regex.compile(r"^\s*(?:[-*•>]+\s+|\d+[.)]\s+)")
 STOPS = ".!?।॥。！？．"
 
 
 def sentences(text: str | None) -> list[str]:
-    """Non-blank sentences, bullets taken off."""
+    """Non-blank sentences, bullets taken off.
+
+    A line break ends a sentence unless the line before has no stop and what follows is neither a list item, a heading, a
+    name with a colon, nor an empty line: then the text was merely wrapped.
+    """
+    text = text or ""
+    if "\n" in text:
+        text = _WRAP.sub(" ", _HEADING.sub("\\1\n\n", text))
     out = []
-    for s in _CUT.split(text or ""):
+    for s in _CUT.split(text):
         if s and (s := _BULLET.sub("", s).strip()):
             out.append(s)
     return out

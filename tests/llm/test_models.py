@@ -61,6 +61,8 @@ def test_passages_and_labels(spark, model):
 
 def test_sentences():
     assert sentences("One. Two!\n- three\n2) four। पाँच") == ["One.", "Two!", "three", "four।", "पाँच"]
+    assert sentences("a wrapped\r\nline here.\nNext one\n\nLast") == ["a wrapped line here.", "Next one", "Last"]
+    assert sentences("# Head\nText\n- item\nQ: what") == ["# Head", "Text", "item", "Q: what"]
     assert sentences(None) == [] and sentences(" \n ") == []
 
 
