@@ -15,32 +15,88 @@ def top_k(df: DataFrame, by: str, k: int, *order: Column) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("rank") <= k)
 
 
-def bm25(docs: DataFrame, id_col: str, tokens: Column, queries: DataFrame, query_id: str, query_tokens: Column, k: int = 8, k1: float = 1.5, b: float = 0.75) -> DataFrame:
-    """(query_id, id, score, rank). Repeated query terms count as often as they occur.
+def _ranked_terms(docs: DataFrame, queries: DataFrame, weights: dict | None, avg: float, k: int, k1: float, b: float, block: int) -> DataFrame:
+    """(query_id, id, score, rank) of documents (id, toks) for queries (query_id, term, qn).
 
-    Terms of the queries are few against the corpus: postings are cut to them before they are shuffled, and
-    document frequencies and lengths are counted over all documents.
+    Each block of queries goes to the documents as an inverted index from term to queries. A task scores a document
+    against all queries at once and keeps the best k of each query, so nothing but k rows per query and task is shuffled: a
+    term that every document holds costs no shuffle and makes no hot key. Without ``weights`` each shared term counts one.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    spark = docs.sparkSession
+    kind, qkind = dict(docs.dtypes)["id"], dict(queries.dtypes)["query_id"]
+    ids = queries.select("query_id").distinct()
+    blocks = max(1, -(-ids.count() // block))
+    out = None
+    for i in range(blocks):
+        rows = (queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i)).collect()
+        names = sorted({r.query_id for r in rows})
+        at = {q: j for j, q in enumerate(names)}
+        index: dict[str, list] = {}
+        for r in rows:
+            index.setdefault(r.term, []).append((at[r.query_id], r.qn if weights else 1))
+        packed = {t: (np.array([q for q, _ in x]), np.array([n * (weights.get(t, 0.0) if weights else 1.0) for _, n in x])) for t, x in index.items()}
+        shared = spark.sparkContext.broadcast((names, packed))
+
+        def scan(batches, shared=shared):
+            names, packed = shared.value
+            best_s, best_d = np.full((len(names), 0), -np.inf), np.empty((len(names), 0), np.int64)
+            seen: list = []
+            for batch in batches:
+                score = np.zeros((batch.num_rows, len(names)))
+                for j, toks in enumerate(batch.column(1).to_pylist()):
+                    tf: dict[str, int] = {}
+                    for t in toks:
+                        tf[t] = tf.get(t, 0) + 1
+                    base = k1 * (1 - b + b * len(toks) / avg) if weights else 0.0
+                    for t, n in tf.items():
+                        if (hit := packed.get(t)) is not None:
+                            score[j, hit[0]] += hit[1] * (n * (k1 + 1) / (n + base)) if weights else hit[1]
+                new = batch.column(0).to_pylist()
+                first = len(seen)
+                seen += new
+                s = np.concatenate([best_s, np.where(score > 0, np.round(score, 6), -np.inf).T], axis=1)
+                d = np.concatenate([best_d, np.broadcast_to(np.arange(first, len(seen)), (len(names), len(new)))], axis=1)
+                order = np.argsort(np.array(seen, object if kind == "string" else None), kind="stable")
+                place = np.empty(len(seen), np.int64)
+                place[order] = np.arange(len(seen))
+                pick = np.lexsort((place[d], -s))[:, :k]
+                best_s, best_d = np.take_along_axis(s, pick, 1), np.take_along_axis(d, pick, 1)
+                kept = np.unique(best_d)  # ids of what is still among the best
+                seen = [seen[x] for x in kept]
+                best_d = np.searchsorted(kept, best_d)
+            hit = [(names[q], seen[d], float(s)) for q in range(len(names)) for s, d in zip(best_s[q], best_d[q]) if s > -np.inf]
+            schema = ["query_id", "id", "score"]
+            types = [pa.string() if x == "string" else pa.int64() if x == "bigint" else pa.int32() for x in (qkind, kind)] + [pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array([h[n] for h in hit], types[n]) for n in range(3)], schema)
+
+        one = docs.mapInArrow(scan, f"query_id {qkind}, id {kind}, score double")
+        out = one if out is None else out.union(one)
+    return top_k(out, "query_id", k, F.desc("score"), F.col("id"))
+
+
+def bm25(docs: DataFrame, id_col: str, tokens: Column, queries: DataFrame, query_id: str, query_tokens: Column, k: int = 8, k1: float = 1.5, b: float = 0.75, block: int = 2000) -> DataFrame:
+    """(query_id, id, score, rank). Repeated query terms count as often as they occur; ties go to the smaller id.
+
+    Document frequencies (of the queries' terms) and the mean length are counted over all documents.
     """
     d = docs.select(F.col(id_col).alias("id"), tokens.alias("toks")).where("id is not null")
-    stats = d.agg(F.count("*").alias("n"), F.avg(F.size("toks")).alias("avg"))
     q = queries.select(F.col(query_id).alias("query_id"), F.explode(query_tokens).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qn"))
+    n, avg = d.agg(F.count("*"), F.avg(F.size("toks"))).first()
     terms = bounded(q.select("term").distinct())
-    post = d.select("id", F.size("toks").alias("dl"), F.explode("toks").alias("term")).join(terms, "term", "left_semi").groupBy("term", "id").agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
-    df_ = post.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
-    part = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avg")))
-    scored = post.join(df_, "term").crossJoin(F.broadcast(stats)).select("term", "id", (idf * part).alias("w"))  # stats: one row
-    hits = scored.join(q, "term").groupBy("query_id", "id").agg(F.round(F.sum(F.col("w") * F.col("qn")), 6).alias("score"))
-    return top_k(hits, "query_id", k, F.desc("score"), F.col("id"))
-
-
-def overlap_top_k(docs: DataFrame, id_col: str, tokens: Column, queries: DataFrame, query_id: str, query_tokens: Column, k: int = 5) -> DataFrame:
-    """(query_id, id, shared, rank): documents that share most distinct tokens with each query."""
-    q = queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(query_tokens)).alias("term"))
-    d = docs.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(tokens)).alias("term"))
-    d = d.join(bounded(q.select("term").distinct()), "term", "left_semi")
-    hits = d.join(q, "term").groupBy("query_id", "id").agg(F.count("*").alias("shared"))
-    return top_k(hits, "query_id", k, F.desc("shared"), F.col("id"))
+    df_ = d.select(F.explode(F.array_distinct("toks")).alias("term")).join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
+    idf = F.log((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
+    weights = {r.term: r.w for r in df_.select("term", idf.alias("w")).collect()}  # a number for each term of the queries
+    return _ranked_terms(d, q, weights or {"": 0.0}, avg or 1.0, k, k1, b, block)
+
+
+def overlap_top_k(docs: DataFrame, id_col: str, tokens: Column, queries: DataFrame, query_id: str, query_tokens: Column, k: int = 5, block: int = 2000) -> DataFrame:
+    """(query_id, id, shared, rank): documents that share most distinct tokens with each query; ties go to the smaller id."""
+    d = docs.select(F.col(id_col).alias("id"), F.array_distinct(tokens).alias("toks")).where("id is not null")
+    q = queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(query_tokens)).alias("term"), F.lit(1).alias("qn"))
+    return _ranked_terms(d, q, None, 1.0, k, 0.0, 0.0, block).select("query_id", "id", F.col("score").cast("long").alias("shared"), "rank")
 
 
 def vector_top_k(corpus: DataFrame, id_col: str, vector: str, queries: DataFrame, query_id: str, query_vector: str, k: int = 10, threshold: float = -1.0, metric: str = "cosine", block: int = 2000) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lathework.functions import text as X
 from lathework.functions import vectors as V
-from lathework.operators import folds, graph, memory, reports, retrieval, similarity, sync
+from lathework.operators import folds, graph, memory, reports, retrieval, routing, similarity, sync
 from lathework.plans.corpus import ASCII, SPACE, STRIP, hot, lessons
 from lathework.session import fresh_path
 from lathework.sources import files, registry
@@ -214,6 +214,28 @@ def _ingest_sql():
     return " union all ".join([part("hot", "qa", "hot_vectors", "answer"), part("lessons", "lesson", "daily_lessons", "answer"), part("bench", "eval", "benchmark", "reference")])
 
 
+TOOLS = [("math", ["theorem", "proof", "equation"], "[0-9]{3}", 0.2), ("medicine", ["fever", "insulin", "patient"], "dosage|surgeon", 0.1), ("code", ["compiler", "server", "parser"], "cache|socket", 0.0), ("law", ["court", "statute", "bail"], "tribunal|warrant", 0.3)]
+
+
+def _route(s, d):
+    tools = s.createDataFrame(TOOLS, "tool string, keywords array<string>, pattern string, bonus double")
+    return routing.route(lessons(s, d), "lesson_id", F.col("question"), tools, 2, 1.0, "search")
+
+
+def _route_sql():
+    one = " union all ".join(f"select '{t}' tool, {k!r} keywords, '{p}' pattern, {b}::DOUBLE bonus" for t, k, p, b in TOOLS)
+    return f"""
+with tools as ({one}), r as (select lesson_id id, lower(coalesce(question, '')) t from daily_lessons),
+h as (select id, tool, bonus, len(list_filter(keywords, lambda x: contains(t, x))) + case when regexp_matches(t, pattern) then 1.5::DOUBLE else 0 end h from r, tools),
+s as (select id, tool, round(h + case when h > 0 then bonus else 0 end, 4)::DOUBLE score from h), b as (select *, row_number() over (partition by id order by score desc, tool) "rank" from s where score >= 1)
+select id, tool, score, "rank"::INT "rank" from b where "rank" <= 2 union all select id, 'search', 0.0, 1 from r where id not in (select id from b)"""
+
+
+def _accepted(s, d):
+    f = table(s, d, "feedback").where("knowledge_id is not null").select("feedback_id", F.col("knowledge_id").alias("accepted"))
+    return routing.accepted_answers(f, hot(s, d), "accepted", "knowledge_id", "answer").select("feedback_id", F.length("accepted_text").alias("n"))
+
+
 ORDERED = "(partition by user_id order by ts, event_id"
 QUERIES = {
     "audit_summary": (_audit, AUDIT_SQL),
@@ -284,6 +306,16 @@ QUERIES = {
     "keep_newest_n": (lambda s, d: sync.keep_newest(hot(s, d), "knowledge_id", 1000).select("knowledge_id"), "select knowledge_id from hot_vectors order by 1 desc limit 1000"),
     "archive_verified": (_archive, "select count(*) \"rows\", max(knowledge_id) max_id from hot_vectors where knowledge_id > (select quantile_disc(knowledge_id, 0.5) from hot_vectors)"),
     "keyset_pages": (lambda s, d: files.pages(hot(s, d), "knowledge_id", 1000).groupBy("page").agg(F.min("knowledge_id").alias("lo"), F.count("*").alias("n")), "select page, min(knowledge_id) lo, count(*) n from (select knowledge_id, (row_number() over (order by knowledge_id) - 1) // 1000 page from hot_vectors) group by 1"),
+    "tool_routes": (_route, _route_sql()),
+    "accepted_answers": (_accepted, "select feedback_id, length(answer)::INT n from feedback join hot_vectors using (knowledge_id) where length(answer) > 40"),
+    "catalogue_search": (lambda s, d: routing.catalogue_search(table(s, d, "part"), "p_name", "a", "p_size", 7, 120, "p_partkey").select("p_partkey"), "select p_partkey from part where p_size = 7 and contains(regexp_replace(lower(coalesce(p_name, '')), '[^a-z0-9]+', '', 'g'), 'a') order by p_partkey limit 120"),
+    "same_answers": (
+        lambda s, d: table(s, d, "benchmark").where("answer_key is not null").select("id", routing.same_answer(F.col("reference"), F.element_at("answer_key", 1)).alias("ok")),
+        "with r as (select id, regexp_replace(lower(trim(coalesce(reference, ''))), '[\\s,$%]+|\\.$', '', 'g') a, regexp_replace(lower(trim(coalesce(answer_key[1], ''))), '[\\s,$%]+|\\.$', '', 'g') b from benchmark where answer_key is not null) select id, (a = b and a <> '') or coalesce(abs(try_cast(a as double) - try_cast(b as double)) <= 1e-6 * greatest(1, abs(try_cast(a as double)), abs(try_cast(b as double))), false) ok from r",
+    ),
+    "repeated_errors": (lambda s, d: routing.repeated_errors(table(s, d, "feedback"), "rating", "feedback_id"), "select rating, count(*) n from (select * from feedback order by feedback_id desc limit 500) group by 1 having count(*) >= 3"),
+    "worker_stride": (lambda s, d: routing.stride(table(s, d, "subject_areas").withColumn("n", F.length("subject")), "n", 1, 2).select("subject"), "select subject from subject_areas where length(subject) % 2 = 1"),
+    "offset_window": (lambda s, d: hot(s, d).orderBy("knowledge_id").offset(500).limit(250).select("knowledge_id"), "select knowledge_id from hot_vectors order by 1 offset 500 limit 250"),
     "files_except": (lambda s, d: sync.missing_files(s, hot(s, d).select("source"), lessons(s, d).select("source"), "source"), "select distinct source from (select source from hot_vectors except all select source from daily_lessons)"),
     "richest_revision": (lambda s, d: sync.richest(hot(s, d), "source", "intent"), "select source, count(distinct intent) n from hot_vectors group by 1 order by n desc, source limit 1"),
     "resume_files": (_resume, "select count(*) n from hot_vectors"),

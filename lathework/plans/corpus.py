@@ -51,7 +51,7 @@ def _first(key, sql_key):
 
 
 def prep_corpus(s, d):
-    t = prep.tagged(hot(s, d), table(s, d, "benchmark"), "question")
+    t = prep.tags(hot(s, d), table(s, d, "benchmark"), "question")
     return prep.report(t, prep.balanced(t, cap=3000))
 
 
@@ -72,8 +72,8 @@ union all select 'dropped', 'capped', count(*)::BIGINT from x where copies = 0 h
 
 
 def prep_rows(s, d):
-    t = prep.tagged(hot(s, d), table(s, d, "benchmark"), "question")
-    return prep.training_rows(prep.balanced(t, cap=3000)).select("knowledge_id", "copy", "split", "domain", F.md5("text").alias("text_md5"))
+    t = prep.tags(hot(s, d), table(s, d, "benchmark"), "question")
+    return prep.training_rows(prep.balanced(t, cap=3000), hot(s, d)).select("knowledge_id", "copy", "split", "domain", F.md5("text").alias("text_md5"))
 
 
 PREP_ROWS_SQL = PREP_SQL.split("select 'dropped' kind")[0].replace("select knowledge_id id,", "select knowledge_id id, question, answer,").replace(

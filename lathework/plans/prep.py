@@ -10,6 +10,7 @@ from lathework.operators.balance import ranked, split_of
 from lathework.operators.decontaminate import marked
 from lathework.operators.normalize import chatml, messages
 from lathework.operators.quality import DOMAINS_A, by_pattern
+from lathework.session import materialise
 
 REPEATS = {"medical": 3, "holy": 2, "agentic": 2}
 
@@ -31,6 +32,11 @@ def tagged(rows: DataFrame, items: DataFrame, item_text: str, row_id: str = "kno
     return r.withColumn("split", F.when(F.col("reason").isNull(), split_of(F.col("key"), test, validation)))
 
 
+def tags(rows: DataFrame, items: DataFrame, item_text: str, row_id: str = "knowledge_id", **gates) -> DataFrame:
+    """The tags alone, written once, since balance and report both read them."""
+    return materialise(tagged(rows, items, item_text, row_id, **gates).select(row_id, "domain", "reason", "split"), "tags")
+
+
 def balanced(t: DataFrame, row_id: str = "knowledge_id", cap: int = 5000, repeats: dict[str, int] = REPEATS) -> DataFrame:
     """Rows that are left, with ``copies``: training rows up to ``cap`` per domain (0 where the cap is reached), others once."""
     times = F.lit(1)
@@ -41,16 +47,23 @@ def balanced(t: DataFrame, row_id: str = "knowledge_id", cap: int = 5000, repeat
     return train.unionByName(t.where("split in ('test', 'validation')").withColumn("copies", F.lit(1)))
 
 
-def training_rows(b: DataFrame) -> DataFrame:
-    """Rendered rows, one for each copy."""
+def training_rows(b: DataFrame, rows: DataFrame, row_id: str = "knowledge_id") -> DataFrame:
+    """Rendered rows, one for each copy. Tags (id, domain, split, copies) are narrow, so texts are shuffled once, here."""
+    kept = b.where("copies > 0").select(row_id, "domain", "split", "copies")
     m = messages(F.col("question"), F.col("answer"))
-    return b.where("copies > 0").withColumns({"text": chatml(m), "messages": F.to_json(m)}).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")
+    got = rows.join(kept, row_id).withColumns({"text": chatml(m), "messages": F.to_json(m)})
+    return got.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")
 
 
 def report(t: DataFrame, b: DataFrame) -> DataFrame:
     """(kind, name, n): rows dropped by reason, kept by split, training rows by domain after balance, and rows capped."""
-    dropped = t.where("reason is not null").groupBy(F.lit("dropped").alias("kind"), F.col("reason").alias("name")).agg(F.count("*").alias("n"))
-    kept = b.where("copies > 0").groupBy(F.lit("split").alias("kind"), F.col("split").alias("name")).agg(F.sum("copies").cast("long").alias("n"))
-    train = b.where("split = 'train' and copies > 0").groupBy(F.lit("train_domain").alias("kind"), F.col("domain").alias("name")).agg(F.sum("copies").cast("long").alias("n"))
-    capped = b.where("copies = 0").groupBy(F.lit("dropped").alias("kind"), F.lit("capped").alias("name")).agg(F.count("*").alias("n"))
-    return dropped.union(kept).union(train).union(capped)
+    entry = lambda kind, name, n: F.struct(F.lit(kind).alias("kind"), name.alias("name"), n.cast("long").alias("n"))
+    dropped = t.where("reason is not null").select(F.array(entry("dropped", F.col("reason"), F.lit(1))).alias("e"))
+    n = F.col("copies")
+    kept = b.select(
+        F.when(n == 0, F.array(entry("dropped", F.lit("capped"), F.lit(1))))
+        .when(F.col("split") == "train", F.array(entry("split", F.col("split"), n), entry("train_domain", F.col("domain"), n)))
+        .otherwise(F.array(entry("split", F.col("split"), n)))
+        .alias("e")
+    )
+    return dropped.union(kept).select(F.explode("e").alias("x")).groupBy("x.kind", "x.name").agg(F.sum("x.n").alias("n"))
