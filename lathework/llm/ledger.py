@@ -93,7 +93,19 @@ class Ledger:
         self.at: dict[int, str] = {}
         self.version = 0
 
-    SCHEMA = "key binary, n long, keep long"
+    SCHEMA, MANIFEST = "key binary, n long, keep long", "bucket int, path string"
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, buckets: int = 8) -> Ledger:
+        """The ledger as its last complete update left it. ``buckets`` must be what it was made with."""
+        self = cls(spark, buckets, path)
+        fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        while fs.exists(fs_path(f"{path}/manifest/v={self.version + 1}/_SUCCESS")):
+            self.version += 1
+        if self.version:
+            self.at = {r.bucket: r.path for r in spark.read.schema(self.MANIFEST).parquet(f"{path}/manifest/v={self.version}").collect()}
+        return self
 
     def read(self, buckets: list[int] | None = None) -> DataFrame:
         """(key, n, keep)."""
@@ -115,8 +127,9 @@ class Ledger:
         )
         self.version += 1
         at = f"{self.path}/v{self.version}"
-        merged.write.partitionBy("bucket").parquet(at)
+        merged.write.mode("overwrite").partitionBy("bucket").parquet(at)
         self.at |= {b: f"{at}/bucket={b}" for b in touched}
+        self.spark.createDataFrame(sorted(self.at.items()), self.MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/v={self.version}")
 
 
 def formatting_duplicates(df: DataFrame, id_col: str, text_col: str, batch_col: str | None = None) -> tuple[DataFrame, DataFrame]:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lathework.functions.words import words
-from lathework.llm.history import known_questions
+from lathework.llm.history import History, known_questions
 from lathework.llm.leaks import WuManber, leaked_items, patterns_of
 from lathework.llm.ledger import Ledger, formatting_duplicates, letters, record_fields
 from lathework.llm.near_duplicates import near_duplicate_groups
@@ -100,6 +100,17 @@ def test_known_questions(spark):
     assert known_questions(h.limit(0), "id", "q", b.limit(0), "lesson", "day", "question").collect() == []
 
 
+def test_history_is_kept(spark):
+    """An index opened anew knows what was accepted before."""
+    a = History(spark)
+    a.add(spark.createDataFrame([(1, "one two three four five")], "id long, text string"))
+    new = spark.createDataFrame([(5, "one two three four five"), (6, "six seven eight nine ten")], "id long, text string")
+    assert [r.id for r in spark.read.parquet(a.probe_and_add(new)).collect()] == [5]
+    again = History.open(spark, a.path)
+    assert again.segments == 2
+    assert [r.id for r in spark.read.parquet(again.probe_and_add(spark.createDataFrame([(7, "six seven eight nine ten"), (8, "else")], "id long, text string"))).collect()] == [7]
+
+
 def test_wu_manber():
     rng = random.Random(1)
     pats = {tuple(rng.choice("abc") for _ in range(rng.randint(3, 5))): {i} for i in range(40)}
@@ -150,4 +161,5 @@ def test_ledger_over_batches(spark):
             want[k] = [want[k][0] + 1, min(want[k][1], i)]
         led.update(spark.createDataFrame(batch, "key binary, id long"))
     led.update(spark.createDataFrame([], "key binary, id long"))
+    assert {bytes(r.key): [r.n, r.keep] for r in Ledger.open(spark, led.path, 4).read().collect()} == dict(want)
     assert {bytes(r.key): [r.n, r.keep] for r in led.read().collect()} == dict(want)
