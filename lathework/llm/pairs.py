@@ -6,13 +6,15 @@ import unicodedata
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lathework.functions.words import words
 from lathework.llm.endings import Endings
 from lathework.llm.languages import LanguageModel, fit_languages, prose
 from lathework.llm.sentences import STOPS, sentences
+from lathework.session import materialise
 
 # What stands for no answer.
 PLACEHOLDERS = {
@@ -152,40 +154,49 @@ def fit_endings(df: DataFrame, id_col: str, answer_col: str, sample: int = 4000)
     return Endings.fit(got)
 
 
-def _neighbours(batches):
-    """Of distinct answers sorted within their keys: the next answer's continuation where this one is its beginning."""
-    hold: tuple[str, str] | None = None  # key and text that waits for its successor
+def core_of(c: Column) -> Column:
+    """An answer without what a cut may have left or put at its end."""
+    return F.regexp_replace(c, r"[\s.…,;:(\[{\"“]+$", "")
 
-    def out(rows):
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], ["answer", "follows"])
 
-    for b in batches:
-        rows = []
-        for key, t, core in zip(*(b.column(j).to_pylist() for j in range(3))):
-            if hold and hold[0] == key and core.startswith(hold[2]) and len(core) > len(hold[2]):
-                rows.append((hold[1], core[len(hold[2]) : len(hold[2]) + 8]))
-            hold = (key, t, core)
-        if rows:
-            yield out(rows)
+def _neighbours(batches):
+    """Of distinct sorted texts: what follows where a text is the beginning of its successor.
 
+    The first and the last text of the partition are given too, for its neighbours.
+    """
+    from pyspark import TaskContext
 
-def _cores(batches):
-    """Key of the first 40 signs, answer, and the answer without what a cut may have added to it."""
+    part, last, first = TaskContext.get().partitionId(), None, None
+    make = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.string(), pa.string(), pa.int32(), pa.string()))], ["core", "follows", "part", "edge"])
     for b in batches:
-        texts = b.column(0).to_pylist()
-        cores = [regex.sub(r"[\s.…,;:([{\"“]+$", "", unicodedata.normalize("NFC", t)) for t in texts]
-        yield pa.RecordBatch.from_arrays([pa.array([c[:40] for c in cores]), b.column(0), pa.array(cores)], ["key", "answer", "core"])
+        rows = []
+        for t in b.column(0).to_pylist():
+            if last is None:
+                rows.append((t, None, part, "first"))
+            elif t.startswith(last):
+                rows.append((last, t[len(last) : len(last) + 8], part, None))
+            last = t
+        yield make(rows)
+    if last is not None:
+        yield make([(last, None, part, "last")])
 
 
 def continued_answers(df: DataFrame, answer_col: str) -> DataFrame:
-    """(answer, follows): answers that are the beginning of another answer, with the signs that follow there.
+    """(core, follows, stopped): answers by their core, with the signs that follow where another answer goes on, and
+    whether one of the answers of this core ends with a stop.
 
-    Distinct answers (collapsed by partial aggregation first) are sorted by text among those with the same first
-    40 signs; a text is the beginning of any other just when it is the beginning of its successor.
+    Distinct cores (collapsed by partial aggregation first) are range-sorted by text; a text is the beginning of any other
+    just when it is the beginning of its successor, so each is compared with its neighbour only. The last text of a partition is
+    compared with the first of the next.
     """
-    distinct = df.select(F.col(answer_col).alias("answer")).where("length(answer) >= 40").distinct()
-    keyed = distinct.mapInArrow(_cores, "key string, answer string, core string")
-    return keyed.repartition("key").sortWithinPartitions("key", "core").mapInArrow(_neighbours, "answer string, follows string").groupBy("answer").agg(F.min("follows").alias("follows"))
+    rows = df.where(F.col(answer_col).isNotNull()).select(core_of(F.col(answer_col)).alias("core"), F.col(answer_col).rlike(r"(?<![.…])[.!?।॥。！？．][\"”»'’*_)\]]*\s*$").alias("stopped"))
+    cores = materialise(rows.where("core <> ''").groupBy("core").agg(F.bool_or("stopped").alias("stopped")), "cores")
+    near = materialise(cores.select("core").repartitionByRange("core").sortWithinPartitions("core").mapInArrow(_neighbours, "core string, follows string, part int, edge string"), "neighbours")
+    edges = near.where("edge is not null")  # two rows for each partition
+    order = Window.orderBy("part", F.when(F.col("edge") == "first", 0).otherwise(1))
+    over = edges.withColumn("next", F.lead("core").over(order)).where("edge = 'last' and startswith(next, core)")
+    follows = near.where("edge is null").select("core", "follows").union(over.select("core", F.expr("substring(next, length(core) + 1, 8)")))
+    return cores.join(follows, "core", "left").select("core", "follows", "stopped")
 
 
 def length_limits(df: DataFrame, answer_col: str, least: int = 30, ratio: float = 8.0) -> list[int]:
@@ -215,14 +226,15 @@ def broken_pairs(df: DataFrame, id_col: str, question_col: str, answer_col: str,
     endings = endings or fit_endings(df, id_col, answer_col)
     src = df.select(F.col(id_col).alias("id"), F.col(question_col).alias("q"), F.col(answer_col).alias("a")).where("id is not null")
     limits = set(length_limits(src, "a"))
-    joined = src.join(continued_answers(src, "a"), src.a == F.col("answer"), "left").select("id", "q", "a", "follows")
+    src = src.withColumn("core", core_of(F.col("a")))
+    joined = src.join(continued_answers(src, "a"), "core", "left").select("id", "q", "a", "follows", "stopped")
     shared = spark.sparkContext.broadcast((languages, endings, limits))
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
         languages, endings, limits = shared.value
         for b in batches:
-            qs, answers, follows = (b.column(j).to_pylist() for j in (1, 2, 3))
+            qs, answers, follows, stopped = (b.column(j).to_pylist() for j in (1, 2, 3, 4))
             defect: list[str | None] = [None] * b.num_rows
             ask: list[int] = []
             for i, (q, a) in enumerate(zip(qs, answers)):
@@ -242,7 +254,9 @@ def broken_pairs(df: DataFrame, id_col: str, question_col: str, answer_col: str,
             for i in ask:
                 a, f = answers[i], follows[i]
                 end = open_end(a)
-                if end is None and f is not None:
+                if end is None and stopped[i]:
+                    end = False  # the same answer ends with a stop elsewhere
+                if end is None and f is not None and len(words(a)) >= 3:  # a name or a number may begin anything
                     end = f[:1] not in STOPS  # the other answer goes on, or stops here
                 if end is None and len(a) in limits:
                     end = True

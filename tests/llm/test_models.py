@@ -99,9 +99,11 @@ def test_broken_pairs(spark, model):
 
 
 def test_continued_and_limits(spark):
-    long = "word " * 30
-    df = spark.createDataFrame([(long + "and more of it.",), (long + "and mo",), (long + "and more of it",), (long + "and mo",), (None,)], "a string")
-    assert {r.answer[-6:]: r.follows[:1] for r in continued_answers(df, "a").collect()} == {"and mo": "r"}
+    texts = ["a bc", "a bcd e.", "a bc…", "a b", "z", "zz top", "zz to", "m end", "m end.", None, "", "..."] + [f"k{i:03d}" for i in range(300)]
+    got = {r.core: (r.follows, r.stopped) for r in continued_answers(spark.createDataFrame([(t,) for t in texts], "a string").repartition(7), "a").collect()}
+    cores = sorted({t.rstrip(".…") for t in texts if t and t != "..."})
+    want = {c: next((d[len(c) : len(c) + 8] for d in cores if d != c and d.startswith(c)), None) for c in cores}
+    assert {c: f for c, (f, _) in got.items()} == want and got["m end"][1] and not got["a bc"][1]
     cut = spark.createDataFrame([("x" * 100,)] * 60 + [("y" * (80 + i),) for i in range(40)], "a string")
     assert length_limits(cut, "a") == [100]
 
