@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from lathework.functions import text as X
 from lathework.functions import vectors as V
-from lathework.operators import folds, graph, memory, reports, retrieval, routing, similarity, sync
+from lathework.operators import folds, graph, memory, reports, retrieval, routing, similarity, sync, vector_index
 from lathework.plans.corpus import ASCII, SPACE, STRIP, hot, lessons
-from lathework.session import fresh_path
+from lathework.session import fresh_path, materialise
 from lathework.sources import files, registry
 from lathework.sources.tables import table
 
@@ -78,6 +78,16 @@ select query_id, id, similarity, "rank"::INT "rank" from (select *, row_number()
     return run, sql
 
 
+def _ivf(s, d):
+    e = table(s, d, "embeddings")
+    lists, _ = routing.index_sizes(e.count(), 64)
+    c = vector_index.fit_lists(e, "vec_id", "embedding", max(4, lists // 8))
+    index = materialise(vector_index.assign(e, "vec_id", "embedding", c), "lists")
+    q = e.where("vec_id % 20 = 0")
+    probes = vector_index.probes_for(index, c, q, "vec_id", "embedding", 10)
+    return vector_index.search(index, c, q, "vec_id", "embedding", 10, probes)
+
+
 def _band(s, d):
     return similarity.similar_in_band(lessons(s, d), "lesson_id", toks("question", 4), "received_at", 0.42, 96.0).select("a", "b", F.round("similarity", 6).alias("similarity"))
 
@@ -286,6 +296,7 @@ QUERIES = {
     "keyword_overlap_topk": (_overlap, OVERLAP_SQL),
     "vector_topk_cosine": _topk("cosine", -1),
     "vector_topk_threshold": _topk("inner", 0.3),
+    "vector_index_topk": (_ivf, None),
     "vector_units": (
         lambda s, d: table(s, d, "embeddings").select("vec_id", F.round(V.length(F.col("embedding")), 6).alias("norm"), F.round(V.dot(V.unit(F.col("embedding")), V.unit(F.col("embedding"))), 6).alias("one")),
         "select vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) norm, 1.0::DOUBLE \"one\" from embeddings",

@@ -2,13 +2,14 @@
 
 import json
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from lathework.functions import scripts
 from lathework.functions import text as X
 from lathework.functions import vectors as V
 from lathework.functions.words import Shingler, class_ids, words
-from lathework.operators import balance, dedup, folds, graph, memory, quality, relational, reports, retrieval, similarity, sync
+from lathework.operators import balance, dedup, folds, graph, memory, quality, relational, reports, retrieval, similarity, sync, vector_index
 from lathework.operators import normalize as N
 from lathework.plans import prep
 from lathework.sources import files, registry, sinks
@@ -137,6 +138,23 @@ def test_retrieval_blocks(spark):
     assert one(spark, V.mean_pool(F.array(F.array(F.lit(1.0)), F.array(F.lit(3.0))))) == [2.0]
 
 
+def test_vector_index_recall(spark):
+    """The index holds every row and finds nine tenths of the true neighbours."""
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(12, 16))
+    rows = [(i, [float(x) for x in centres[i % 12] + 0.4 * rng.normal(size=16)]) for i in range(1200)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    c = vector_index.fit_lists(df, "id", "v", 12)
+    index = vector_index.assign(df, "id", "v", c)
+    assert index.count() == 1200
+    q = df.where("id % 20 = 0")
+    got = {(r.query_id, r.id) for r in vector_index.search(index, c, q, "id", "v", 10, probes=vector_index.probes_for(index, c, q, "id", "v", sample=20), block=25).collect()}
+    want = {(r.query_id, r.id) for r in retrieval.vector_top_k(df, "id", "v", q, "id", "v", 10).collect()}
+    assert len(got & want) >= 0.9 * len(want)
+    none = df.limit(0)
+    assert vector_index.assign(none, "id", "v", vector_index.fit_lists(none, "id", "v", 4)).count() == 0
+
+
 def test_graph_and_folds(spark):
     df = spark.createDataFrame([(["b", "a"],), (["a", "b", "c"],)], "c array<string>")
     assert [tuple(r) for r in graph.cooccurrence(df, F.col("c")).collect()] == [("a", "b", 2)]
