@@ -73,6 +73,10 @@ def p8_mix(spark: SparkSession, d: str) -> DataFrame:
     return _p8(spark, d)[0].withColumnRenamed("id", "doc_id")
 
 
+def p8_uses(spark: SparkSession, d: str) -> DataFrame:
+    return p8_mix(spark, d).groupBy("doc_id", "source", "tokens").agg(F.count("*").alias("uses"))
+
+
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return _p8(spark, d)[1]
 
@@ -91,7 +95,7 @@ def p9_composition(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    fs = (p1_found, p1_passages, p2_found, p3_found, p4_found, p4_records, p5_found, p6_found, p7_ids, p8_mix, p8_shares, p9_found, p9_composition)
+    fs = (p1_found, p1_passages, p2_found, p3_found, p4_found, p4_records, p5_found, p6_found, p7_ids, p8_mix, p8_uses, p8_shares, p9_found, p9_composition)
     return {f.__name__: f for f in fs}
 
 

@@ -66,7 +66,7 @@ def mix(docs: DataFrame, targets: DataFrame, id_col: str, text_col: str, source_
     document is used more than once more often than another of its source. A use's place in its source's stream of tokens, as
     a share of the demand, is turned into a time by inverting the integral of the source's schedule, and the
     uses are range-sorted by time. Documents without tokens (null or empty texts), of no source, or of a source without
-    target aren't used; a null id is an id like any other, but one row stands for all. Empty tables give no uses.
+    target aren't used; rows that repeat an id, or have none, are documents of their own. Empty tables give no uses.
     """
     spark = docs.sparkSession
     d = materialise(sized(docs, id_col, text_col, source_col, vocabulary).where("tokens > 0 and source is not null"), "sized")

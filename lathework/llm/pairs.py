@@ -72,18 +72,16 @@ def is_empty(text: str | None) -> bool:
 
 def is_refusal(text: str) -> bool:
     """The answer is a short text that declines; a quoted refusal or one within an answer isn't."""
-    if len(text) > 600:
-        return False
     left, found = 0, False
     for s in sentences(text):
         f = folded(_QUOTED.sub(" ", s)) if _QUOTED.search(s) else folded(s)
         if _REFUSAL.search(f):
             found = True
-        elif len(f.split()) > 12:
-            left += 2
         else:
-            left += 1
-    return found and left <= 1
+            left += 2 if len(f.split()) > 12 else 1
+            if left > 1:
+                return False
+    return found
 
 
 def copies_question(question: str | None, answer: str) -> bool:
