@@ -45,7 +45,7 @@ def lessons(s, d):
 
 def _first(key, sql_key):
     return (
-        lambda s, d: D.keep_best(D.drop_empty_keys(hot(s, d), key()), key(), F.col("knowledge_id")).select("knowledge_id", F.md5(key()).alias("k")),
+        lambda s, d: D.keep_best(D.drop_empty_keys(hot(s, d), key()).select("knowledge_id", "question"), key(), F.col("knowledge_id")).select("knowledge_id", F.md5(key()).alias("k")),
         f"select knowledge_id, md5(k) k from (select knowledge_id, {sql_key} k, row_number() over (partition by {sql_key} order by knowledge_id) r from hot_vectors) where r = 1 and k <> ''",
     )
 
@@ -283,7 +283,7 @@ QUERIES = {
     "dedup_ascii_first": _first(lambda: X.ascii_key(Q_()), ASCII.format("question")),
     "dedup_space_first": _first(lambda: X.space_key(Q_()), SPACE.format("question")),
     "dedup_md5_best": (
-        lambda s, d: D.keep_best(hot(s, d), X.md5_key(Q_()), -F.length(F.coalesce(A_(), F.lit(""))), F.col("knowledge_id")).select("knowledge_id"),
+        lambda s, d: D.keep_best(hot(s, d).select("knowledge_id", X.md5_key(Q_()).alias("k"), (-F.length(F.coalesce(A_(), F.lit("")))).alias("n")), F.col("k"), F.col("n"), F.col("knowledge_id")).select("knowledge_id"),
         "select knowledge_id from (select knowledge_id, row_number() over (partition by md5(lower(trim(coalesce(question, '')))) order by length(coalesce(answer, '')) desc, knowledge_id) r from hot_vectors) where r = 1",
     ),
     "dedup_first_words": _first(lambda: D.first_words(Q_()), "array_to_string(list_filter(regexp_split_to_array(lower(trim(coalesce(question, ''))), ' +'), lambda w: w <> '')[1:10], ' ')"),
