@@ -24,7 +24,7 @@ _NAMED = {n: c for c, ns in NAMES.items() for n in [c, *ns.split()]}
 _QUOTED = regex.compile(r"\"[^\"]{1,200}\"|“[^”]{1,200}”|«[^»]{1,200}»|‘[^’]{1,200}’|`[^`]{1,200}`")
 _CODE = regex.compile(r"```.*?(?:```|$)", regex.S)
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
-DIMS, GRAMS = 1 << 15, (1, 2, 3, 4)
+DIMS, GRAMS, BLOCK_CHARS = 1 << 15, (1, 2, 3, 4), 100_000
 
 
 def language_code(label: str | None) -> str | None:
@@ -141,16 +141,23 @@ class LanguageModel:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Cosine with the nearest centroid of each language in ``names``, or -1 where even the best is too far."""
-        bare = [_bare(t) for t in texts]
+        out = np.full((len(texts), len(self.names)), -1, np.float32)
+        block, chars, at = [], 0, 0
+        for i, t in enumerate(texts):
+            block.append(_bare(t))
+            chars += len(block[-1])
+            if chars > BLOCK_CHARS or i == len(texts) - 1:  # blocks keep the n-grams of a batch small
+                out[at : at + len(block)] = self._block(block)
+                block, chars, at = [], 0, i + 1
+        return out
+
+    def _block(self, bare: list[str]) -> np.ndarray:
         doc, feat, val = _features(bare)
         n = len(bare)
         s = self._sims(doc, feat, self._normed(doc, feat, val, n, self.idf), n, self.c)
         near = s.argmax(1)
         s[s[np.arange(n), near] < self.floors[near]] = -1
-        out = np.full((n, len(self.names)), -1, np.float32)
-        for j in range(len(self.names)):
-            out[:, j] = s[:, self.lang == j].max(1)
-        return out
+        return np.stack([s[:, self.lang == j].max(1) for j in range(len(self.names))], axis=1)
 
     def passages(self, texts: list[list[str]], margin: float = 0.04) -> list[list[tuple[str | None, float]]]:
         """Language and confidence of each sentence of each text.

@@ -2,24 +2,57 @@
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Iterable
+
 import numpy as np
 import xxhash
 
 
+_KNOWN: dict[tuple[str, int], int] = {}
+
+
 def hashed(features: list[str], bits: int) -> list[int]:
-    """Numbers of named features."""
-    mask = (1 << bits) - 1
-    return [xxhash.xxh3_64_intdigest(f) & mask for f in features]
+    """Numbers of named features; those of names met before are remembered, up to 2**18."""
+    out = []
+    for f in features:
+        n = _KNOWN.get((f, bits))
+        if n is None:
+            n = xxhash.xxh3_64_intdigest(f) & ((1 << bits) - 1)
+            if len(_KNOWN) < 1 << 18:
+                _KNOWN[f, bits] = n
+        out.append(n)
+    return out
 
 
 class Sparse:
     """Rows of feature numbers and values, end to end."""
 
-    def __init__(self, rows: list[list[int]], values: list[list[float]] | None = None):
-        self.n = len(rows)
-        self.row = np.repeat(np.arange(self.n), [len(r) for r in rows])
-        self.col = np.array([c for r in rows for c in r], np.int64)
-        self.val = np.ones(len(self.col)) if values is None else np.array([v for r in values for v in r], float)
+    def __init__(self, rows: Iterable[list[int]], values: Iterable[list[float]] | None = None):
+        size, col, val = array("q"), array("i"), array("f")
+        for r in rows:
+            size.append(len(r))
+            col.extend(r)
+        for v in values or ():
+            val.extend(v)
+        self._set(size, col, val if values is not None else None)
+
+    def _set(self, size: array, col: array, val: array | None) -> None:
+        self.n = len(size)
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), np.frombuffer(size, np.int64)) if self.n else np.empty(0, np.int32)
+        self.col = np.frombuffer(col, np.int32) if len(col) else np.empty(0, np.int32)
+        self.val = np.ones(len(self.col), np.float32) if val is None else np.frombuffer(val, np.float32) if len(val) else np.empty(0, np.float32)
+
+    @classmethod
+    def of(cls, pairs: Iterable[tuple[list[int], list[float]]]) -> Sparse:
+        """From rows of (numbers, values), one after the other."""
+        self, size, col, val = cls.__new__(cls), array("q"), array("i"), array("f")
+        for r, v in pairs:
+            size.append(len(r))
+            col.extend(r)
+            val.extend(v)
+        self._set(size, col, val)
+        return self
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.col] * self.val, minlength=self.n)

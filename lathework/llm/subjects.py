@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -100,11 +101,10 @@ class Terms:
         return self
 
 
-def _base(j: int, share: np.ndarray, source: str, form: list[str]) -> tuple[list[str], list[float]]:
+def _base(j: int, share: list[float], source: str, form: list[str]) -> tuple[list[str], list[float]]:
     """Features of subject j that don't depend on other decisions."""
     s = share[j]
-    others = np.sort(np.delete(share[:-1], j))
-    names, values = ["share", "none", "rest"], [4 * s, share[-1], others[-1] if len(others) else 0.0]
+    names, values = ["share", "none", "rest"], [4 * s, share[-1], max((x for i, x in enumerate(share[:-1]) if i != j), default=0.0)]
     names += [f"over{t}" for t in (5, 10, 14, 17, 19, 21, 24, 28, 35, 50) if s >= t / 100]
     names += [f"source {source}|{j}", f"subject {j}"] + [f"form {f}|{s >= 0.19}" for f in form]
     return names, values + [1.0] * (len(names) - 3)
@@ -114,20 +114,22 @@ class Chain:
     """A classifier chain with weights shared between its links, but for each link's own bias and memory."""
 
     def __init__(self, w: np.ndarray, b: float, scale: tuple[float, float]):
-        self.w, self.b, self.scale = w, b, scale
+        self.w, self.b, self.scale, self.plain = w, b, scale, None
 
     @staticmethod
-    def rows(shares: list[np.ndarray], sources: list[str], forms: list[list[str]], labels: list[set[int]], k: int):
-        rows, values, y = [], [], []
-        for share, source, form, have in zip(shares, sources, forms, labels):
-            for j in range(k):
-                names, val = _base(j, share, source, form)
-                before = [h for h in have if h < j]
-                names, val = names + [f"after {h}|{j}" for h in before] + [f"given{min(len(before), 3)}"], val + [1.0] * (len(before) + 1)
-                rows.append(hashed(names, BITS))
-                values.append(val)
-                y.append(float(j in have))
-        return Sparse(rows, values), np.array(y)
+    def rows(shares: list[list[float]], sources: list[str], forms: list[list[str]], labels: list[set[int]], k: int):
+        y: list[float] = []
+
+        def each():
+            for share, source, form, have in zip(shares, sources, forms, labels):
+                for j in range(k):
+                    names, val = _base(j, share, source, form)
+                    before = [h for h in have if h < j]
+                    y.append(float(j in have))
+                    yield hashed(names + [f"after {h}|{j}" for h in before] + [f"given{min(len(before), 3)}"], BITS), val + [1.0] * (len(before) + 1)
+
+        x = Sparse.of(each())
+        return x, np.array(y)
 
     @classmethod
     def fit(cls, shares, sources, forms, labels, k: int, folds: int = 3) -> Chain:
@@ -146,20 +148,23 @@ class Chain:
             a, c = float(max(sw[0], 0.05)), float(sb)
         return cls(w, b, (a, c))
 
-    def decode(self, share: np.ndarray, source: str, form: list[str], k: int, beam: int = BEAM) -> tuple[set[int], float]:
+    def decode(self, share: list[float], source: str, form: list[str], k: int, beam: int = BEAM) -> tuple[set[int], float]:
         """The most probable combination found, and its probability."""
+        if self.plain is None:
+            self.plain = self.w.tolist()  # single weights are read faster from a list
+        w, (a, c) = self.plain, self.scale
         paths: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
         for j in range(k):
             names, val = _base(j, share, source, form)
-            fixed = self.b + float(np.dot(self.w[hashed(names, BITS)], val))
+            fixed = self.b + sum(w[i] * v for i, v in zip(hashed(names, BITS), val))
             grown = []
             for lp, have in paths:
                 more = hashed([f"after {h}|{j}" for h in have] + [f"given{min(len(have), 3)}"], BITS)
-                z = self.scale[0] * (fixed + float(self.w[more].sum())) + self.scale[1]
-                grown.append((lp - np.logaddexp(0, -z), have + (j,)))
-                grown.append((lp - np.logaddexp(0, z), have))
+                z = max(-30.0, min(30.0, a * (fixed + sum(w[i] for i in more)) + c))
+                grown.append((lp - math.log1p(math.exp(-z)), have + (j,)))
+                grown.append((lp - math.log1p(math.exp(z)), have))
             paths = sorted(grown, reverse=True)[:beam]
-        return set(paths[0][1]), float(np.exp(paths[0][0]))
+        return set(paths[0][1]), math.exp(paths[0][0])
 
 
 class SubjectModel:
@@ -167,10 +172,10 @@ class SubjectModel:
         self.names, self.languages, self.terms, self.chain = names, languages, terms, chain
 
     @staticmethod
-    def shares(terms: Terms, docs: list[list[Sentence]]) -> list[np.ndarray]:
+    def shares(terms: Terms, docs: list[list[Sentence]]) -> list[list[float]]:
         """Of each document the share of sentences of each subject, and of none."""
         k = len(terms.prior)
-        return [np.bincount(p.argmax(1), minlength=k) / len(p) if len(p) else np.zeros(k) for p in terms.posterior(docs)]
+        return [(np.bincount(p.argmax(1), minlength=k) / len(p)).tolist() if len(p) else [0.0] * k for p in terms.posterior(docs)]
 
     @classmethod
     def fit(cls, names: list[str], texts: list[str | None], sources: list[str], labels: list[set[int]], languages: LanguageModel | None = None) -> SubjectModel:
@@ -211,7 +216,7 @@ def fit_subjects(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     if not names:
         return None
     at = {s: i for i, s in enumerate(names)}
-    languages = fit_languages(docs, id_col, text_col, lang_col)
+    languages = fit_languages(docs, id_col, text_col, lang_col, per_label=200)
     return SubjectModel.fit(names, [r.text for r in got], [r.source for r in got], [{at[s] for s in r.subjects} for r in got], languages)
 
 
