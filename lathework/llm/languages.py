@@ -76,7 +76,7 @@ class LanguageModel:
 
     Sentences of all labels are clustered together (started within each label), and a cluster speaks the language
     that most of its sentences are labelled with, so wrong labels, being a minority in each cluster, cost nothing.
-    A sentence is nearest to a centroid by cosine; below the cluster's floor (half the cosine that all but 0.5 % of its
+    A sentence is nearest to a centroid by cosine; below the cluster's floor (a third of the cosine that all but 0.5 % of its
     own sentences reach) it is of no known language.
     """
 
@@ -136,7 +136,7 @@ class LanguageModel:
         votes = np.bincount(part * len(names) + y, weight, k * len(names)).reshape(k, len(names))
         used = np.bincount(part, minlength=k) >= 3
         best = s[np.arange(n), part]
-        floors = np.array([np.quantile(best[part == i], 0.005) * 0.5 if used[i] else 1 for i in range(k)], np.float32)
+        floors = np.array([np.quantile(best[part == i], 0.005) * 0.35 if used[i] else 1 for i in range(k)], np.float32)
         return cls(idf, c[used], [names[i] for i in votes.argmax(1)[used]], floors[used])
 
     def scores(self, texts: list[str]) -> np.ndarray:
