@@ -162,7 +162,7 @@ def _episodes(s, d):
 
 SECRETS = X.SECRETS.replace("'", "''")
 EPISODES_CTE = f"""
-with r as (select md5({SPACE.format("trim(coalesce(question, ''))")} || chr(31) || {SPACE.format("trim(coalesce(answer, ''))")}) key, trim(coalesce(question, '')) question, trim(coalesce(answer, '')) answer,
+with r as (select md5({SPACE.format("trim(coalesce(question, ''), ' ')")} || chr(31) || {SPACE.format("trim(coalesce(answer, ''), ' ')")}) key, trim(coalesce(question, ''), ' ') question, trim(coalesce(answer, ''), ' ') answer,
   least(1.0, coalesce((knowledge_id % 10) / 10.0, 0.55))::DOUBLE score, coalesce(source = 'grounded_promoter', false) verified, embedded_at seen from hot_vectors),
 k as (select * from r where length(question) >= 3 and length(answer) >= 8 and not regexp_matches(question || ' ' || answer, '{SECRETS}')),
 m as (select key, (min({{'at': seen, 'question': question, 'answer': answer}})) f, count(*) uses, bool_or(verified) verified, round(avg(score), 6) score, max(seen) last from k group by key)
@@ -259,7 +259,7 @@ QUERIES = {
     "progress": (lambda s, d: reports.progress(hot(s, d), 2_000_000), "select count(*) \"rows\", count(distinct filename) files, round(100.0::DOUBLE * count(*) / 2000000, 2) percent, rpad(repeat('#', least(20, floor(round(100.0::DOUBLE * count(*) / 2000000, 2) / 5))::INT), 20, '-') bar from (select *, 'hot_vectors' filename from hot_vectors)"),
     "weak_topics": (
         lambda s, d: reports.weak_topics(table(s, d, "feedback"), "intent", "rating", 5, 3.5),
-        "with r as (select regexp_replace(lower(trim(coalesce(intent, 'general'))), ' +', '_', 'g') topic, try_cast(trim(rating) as double) r from feedback) select topic, round(avg(r), 3) avg_rating, count(*) n from r where r is not null and not isnan(r) group by 1 having count(*) >= 5 and round(avg(r), 3) < 3.5",
+        "with r as (select regexp_replace(lower(trim(coalesce(intent, 'general'), ' ')), ' +', '_', 'g') topic, try_cast(trim(rating) as double) r from feedback) select topic, round(avg(r), 3) avg_rating, count(*) n from r where r is not null and not isnan(r) group by 1 having count(*) >= 5 and round(avg(r), 3) < 3.5",
     ),
     "eval_scores": (
         lambda s, d: reports.scores(table(s, d, "benchmark").withColumn("ok", (F.length("reference") > 60).cast("int")), "category", F.col("ok")),
@@ -322,7 +322,7 @@ QUERIES = {
     "catalogue_search": (lambda s, d: routing.catalogue_search(table(s, d, "part"), "p_name", "a", "p_size", 7, 120, "p_partkey").select("p_partkey"), "select p_partkey from part where p_size = 7 and contains(regexp_replace(lower(coalesce(p_name, '')), '[^a-z0-9]+', '', 'g'), 'a') order by p_partkey limit 120"),
     "same_answers": (
         lambda s, d: table(s, d, "benchmark").where("answer_key is not null").select("id", routing.same_answer(F.col("reference"), F.element_at("answer_key", 1)).alias("ok")),
-        "with r as (select id, regexp_replace(lower(trim(coalesce(reference, ''))), '[\\s,$%]+|\\.$', '', 'g') a, regexp_replace(lower(trim(coalesce(answer_key[1], ''))), '[\\s,$%]+|\\.$', '', 'g') b from benchmark where answer_key is not null) select id, (a = b and a <> '') or coalesce(abs(try_cast(a as double) - try_cast(b as double)) <= 1e-6 * greatest(1, abs(try_cast(a as double)), abs(try_cast(b as double))), false) ok from r",
+        "with r as (select id, regexp_replace(lower(trim(coalesce(reference, ''), ' ')), '[\\s,$%]+|\\.$', '', 'g') a, regexp_replace(lower(trim(coalesce(answer_key[1], ''))), '[\\s,$%]+|\\.$', '', 'g') b from benchmark where answer_key is not null) select id, (a = b and a <> '') or coalesce(abs(try_cast(a as double) - try_cast(b as double)) <= 1e-6 * greatest(1, abs(try_cast(a as double)), abs(try_cast(b as double))), false) ok from r",
     ),
     "repeated_errors": (lambda s, d: routing.repeated_errors(table(s, d, "feedback"), "rating", "feedback_id"), "select rating, count(*) n from (select * from feedback order by feedback_id desc limit 500) group by 1 having count(*) >= 3"),
     "worker_stride": (lambda s, d: routing.stride(table(s, d, "subject_areas").withColumn("n", F.length("subject")), "n", 1, 2).select("subject"), "select subject from subject_areas where length(subject) % 2 = 1"),

@@ -24,7 +24,7 @@ def A_():
 
 
 ASCII = "trim(regexp_replace(lower(coalesce({0}, '')), '[^a-z0-9]+', ' ', 'g'))"
-SPACE = "trim(regexp_replace(lower(coalesce({0}, '')), '[ \\t\\n\\r\\f]+', ' ', 'g'))"
+SPACE = "trim(regexp_replace(lower(coalesce({0}, '')), '[ \\t\\n\\r\\f]+', ' ', 'g'), ' ')"
 #: Python's view of white space at both ends, for RE2.
 STRIP = "regexp_replace({0}, '^[\\t-\\r\\x1c- \\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]+|[\\t-\\r\\x1c- \\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]+$', '', 'g')"
 FRACTION = "(('0x' || substr(md5({0}), 1, 15))::BIGINT)::DOUBLE / 1152921504606846976.0"
@@ -105,8 +105,8 @@ def upserted(s, d):
 
 
 UPSERT_SQL = """
-with a as (select md5(lower(trim(coalesce(question, '')))) k, knowledge_id row_id, created_at seen, 0 new from hot_vectors union all
-  select md5(lower(trim(coalesce(question, '')))), -lesson_id, received_at, 1 from daily_lessons),
+with a as (select md5(lower(trim(coalesce(question, ''), ' '))) k, knowledge_id row_id, created_at seen, 0 new from hot_vectors union all
+  select md5(lower(trim(coalesce(question, ''), ' '))), -lesson_id, received_at, 1 from daily_lessons),
 b as (select *, row_number() over (partition by k, new order by seen desc nulls last, row_id desc) r from a)
 select k, row_id from (select *, row_number() over (partition by k order by seen desc nulls last, new desc) q from b where r = 1) where q = 1
 """
@@ -180,7 +180,7 @@ def quality(s, d):
 
 
 QUALITY_SQL = r"""
-with r as (select knowledge_id, trim(coalesce(question, '')) q, trim(coalesce(answer, '')) a, lower(coalesce(answer, '')) low from hot_vectors),
+with r as (select knowledge_id, trim(coalesce(question, ''), ' ') q, trim(coalesce(answer, ''), ' ') a, lower(coalesce(answer, '')) low from hot_vectors),
 w as (select *, list_filter(string_split(lower(a), ' '), lambda x: x <> '') ws from r),
 v as (select *, case when len(ws) > 0 then len(list_distinct(ws)) / len(ws) else 0 end variety, length(a) n from w),
 z as (select *, case when q = '' or a = '' then 0.0 else greatest(0.0::DOUBLE, least(1.0::DOUBLE, 0.3::DOUBLE + case when n >= 400 then 0.25::DOUBLE when n >= 150 then 0.18 when n >= 60 then 0.08 else 0 end
@@ -197,8 +197,8 @@ def rejections(s, d):
 
 
 REJECT_SQL = """
-with r as (select list_filter([case when length(trim(question)) < 8 then 'short_question' end, case when length(trim(answer)) < 20 then 'short_answer' end,
-  case when regexp_matches(lower(answer), 'i cannot|sorry') then 'refusal' end, case when trim(coalesce(lang, '')) = '' then 'no_lang' end], lambda x: x is not null) l from daily_lessons)
+with r as (select list_filter([case when length(trim(question, ' ')) < 8 then 'short_question' end, case when length(trim(answer, ' ')) < 20 then 'short_answer' end,
+  case when regexp_matches(lower(answer), 'i cannot|sorry') then 'refusal' end, case when trim(coalesce(lang, ''), ' ') = '' then 'no_lang' end], lambda x: x is not null) l from daily_lessons)
 select rule, count(*) n from (select unnest(case when len(l) = 0 then [null] else l end) rule from r) group by rule
 """
 
@@ -249,9 +249,9 @@ def tags(s, d):
 
 TAGS_SQL = rf"""
 select knowledge_id, substr(sha1(coalesce(source, '') || chr(31) || coalesce(question, '') || chr(31) || coalesce(answer, '') || chr(31)), 1, 16) content_id,
-  sha256(lower(trim(coalesce(source, ''))) || '|' || lower(trim(coalesce(question, '')))) fingerprint, -(('0x' || substr(sha256(coalesce(question, '')), 1, 15))::BIGINT + 1) negative_id,
+  sha256(lower(trim(coalesce(source, ''), ' ')) || '|' || lower(trim(coalesce(question, ''), ' '))) fingerprint, -(('0x' || substr(sha256(coalesce(question, '')), 1, 15))::BIGINT + 1) negative_id,
   substr(regexp_replace(regexp_replace(lower(coalesce(question, '')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 60) slug,
-  array_to_string(list_filter(regexp_split_to_array(lower(trim(coalesce(question, ''))), ' +'), lambda w: w <> '')[1:10], ' ') head,
+  array_to_string(list_filter(regexp_split_to_array(lower(trim(coalesce(question, ''), ' ')), ' +'), lambda w: w <> '')[1:10], ' ') head,
   regexp_matches(coalesce(question, ''), '[\x{{0900}}-\x{{097F}}]') devanagari,
   (length(coalesce(question, '')) - length(replace(coalesce(question, ''), chr(10), '')) + 1 + length(coalesce(answer, '')) - length(replace(coalesce(answer, ''), chr(10), '')) + 1)::INT lines,
   md5(regexp_replace(coalesce(answer, ''), '(?i)\b(hf_[a-z0-9]{{10,}}|gsk_[a-z0-9]{{10,}}|sk-[a-z0-9]{{10,}})|\b(password|passwd|api[_ -]?key|secret|token)\s*[:=]\s*[^ \t\n]+', '[redacted]', 'g')) redacted from hot_vectors
@@ -284,11 +284,11 @@ QUERIES = {
     "dedup_space_first": _first(lambda: X.space_key(Q_()), SPACE.format("question")),
     "dedup_md5_best": (
         lambda s, d: D.keep_best(hot(s, d).select("knowledge_id", X.md5_key(Q_()).alias("k"), (-F.length(F.coalesce(A_(), F.lit("")))).alias("n")), F.col("k"), F.col("n"), F.col("knowledge_id")).select("knowledge_id"),
-        "select knowledge_id from (select knowledge_id, row_number() over (partition by md5(lower(trim(coalesce(question, '')))) order by length(coalesce(answer, '')) desc, knowledge_id) r from hot_vectors) where r = 1",
+        "select knowledge_id from (select knowledge_id, row_number() over (partition by md5(lower(trim(coalesce(question, ''), ' '))) order by length(coalesce(answer, '')) desc, knowledge_id) r from hot_vectors) where r = 1",
     ),
-    "dedup_first_words": _first(lambda: D.first_words(Q_()), "array_to_string(list_filter(regexp_split_to_array(lower(trim(coalesce(question, ''))), ' +'), lambda w: w <> '')[1:10], ' ')"),
-    "dup_report": (lambda s, d: D.duplicate_report(hot(s, d), X.md5_key(Q_())), "select count(*) total, count(distinct lower(trim(coalesce(question, '')))) distinct_keys, count(*) - count(distinct lower(trim(coalesce(question, '')))) duplicates from hot_vectors"),
-    "insert_ignore": (insert_ignore, "select min(lesson_id) lesson_id, k from (select lesson_id, md5(lower(trim(coalesce(question, '')))) k from daily_lessons) where k not in (select md5(lower(trim(coalesce(question, '')))) from hot_vectors) group by k"),
+    "dedup_first_words": _first(lambda: D.first_words(Q_()), "array_to_string(list_filter(regexp_split_to_array(lower(trim(coalesce(question, ''), ' ')), ' +'), lambda w: w <> '')[1:10], ' ')"),
+    "dup_report": (lambda s, d: D.duplicate_report(hot(s, d), X.md5_key(Q_())), "select count(*) total, count(distinct lower(trim(coalesce(question, ''), ' '))) distinct_keys, count(*) - count(distinct lower(trim(coalesce(question, ''), ' '))) duplicates from hot_vectors"),
+    "insert_ignore": (insert_ignore, "select min(lesson_id) lesson_id, k from (select lesson_id, md5(lower(trim(coalesce(question, ''), ' '))) k from daily_lessons) where k not in (select md5(lower(trim(coalesce(question, ''), ' '))) from hot_vectors) group by k"),
     "upsert": (upserted, UPSERT_SQL),
     "decontaminate_exact": (decontaminated, f"select knowledge_id from hot_vectors where {ASCII.format('question')} = '' or {ASCII.format('question')} not in (select {ASCII.format('question')} from benchmark)"),
     "knowledge_rows": (knowledge, KNOWLEDGE_SQL),
