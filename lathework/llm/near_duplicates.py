@@ -3,8 +3,8 @@
 The fingerprint of a text is 48 minwise symbols of 16 bits. Its Hamming distance (symbols that differ) over 48
 estimates 1 - likeness. The fingerprint is cut into 12 segments of 4 symbols; of each segment the ball of radius 1
 is enumerated (the 4 keys that leave one symbol open), rows that meet under a key are candidates, and their
-complete distances are computed. Distances far below the limit decide alone, distances near it are followed by the
-exact likeness of the two word-run sets.
+complete distances are computed. Distances far beyond the limit are dropped, all others are followed by the exact
+likeness of the two word-run sets: no link rests on a fingerprint alone.
 """
 
 from __future__ import annotations
@@ -171,7 +171,7 @@ def near_duplicate_groups(df: DataFrame, id_col: str, text_cols: list[str], k: i
 
     # Agreement of two texts at the threshold has a deviation of half a symbol times sqrt(48); beyond four of them nothing is left to decide.
     spread = 4 * (threshold * (1 - threshold) / SYMBOLS) ** 0.5
-    low, high = int((threshold - spread) * SYMBOLS), int(np.ceil((threshold + spread + 0.02) * SYMBOLS))
+    low = int((threshold - spread) * SYMBOLS)
 
     def meet(keys: DataFrame) -> DataFrame:
         return materialise(keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_bucket_pairs, "a long, b long, again boolean"), "met")
@@ -186,12 +186,11 @@ def near_duplicate_groups(df: DataFrame, id_col: str, text_cols: list[str], k: i
     for depth in range(WIDTH + 1):
         met = meet(keys)
         links = scored(_across(met.where("not again").select("a", "b").distinct(), roots) if depth else met.where("not again").select("a", "b").distinct())
-        sure = components(roots.select("node", "root").union(links.where(F.col("same") >= high).select("a", "b")))
+        sure = components(roots.select("node", "root").union(_exact(rows, links.select("a", "b"), k, threshold)))
         large = _spanning(met.where("again").select(F.col("a").alias("key"), F.col("b").alias("id")), sure)
         more = scored(_pairs_within(large.where(F.col("n") <= WIDE)))
-        near = materialise(_across(links.where(F.col("same") < high).union(more), sure), "near")
-        linked = _exact(rows, near.where(F.col("same") < high).select("a", "b"), k, threshold).union(near.where(F.col("same") >= high).select("a", "b"))
-        roots = components(sure.select("node", "root").union(linked))
+        near = materialise(_across(more, sure), "near")
+        roots = components(sure.select("node", "root").union(_exact(rows, near.select("a", "b"), k, threshold)))
         wide = large.where(F.col("n") > WIDE)
         if depth == WIDTH or wide.isEmpty():
             break
