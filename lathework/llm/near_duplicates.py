@@ -1,10 +1,8 @@
-"""Near duplicates: groups of rows whose texts share most of their word runs (multi-index hashing).
+"""Near duplicates: groups of rows whose texts share most of their word runs (exact prefix filter).
 
-The fingerprint of a text is 48 minwise symbols of 16 bits. Its Hamming distance (symbols that differ) over 48
-estimates 1 - likeness. The fingerprint is cut into 12 segments of 4 symbols; of each segment the ball of radius 1
-is enumerated (the 4 keys that leave one symbol open), rows that meet under a key are candidates, and their
-complete distances are computed. Distances far beyond the limit are dropped, all others are followed by the exact
-likeness of the two word-run sets: no link rests on a fingerprint alone.
+Rows that may be alike meet under the first of their runs, rare ones first (``prefixes``). A pair that meets as often as
+alike rows must is a candidate, and its exact likeness decides. No alike pair is lost on the way, whether rare
+or frequent runs carry its likeness.
 """
 
 from __future__ import annotations
@@ -14,110 +12,117 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lathework.functions.words import Shingler, class_ids, mix, pair_likeness
+from lathework.functions.words import Shingler, class_ids, pair_likeness
 from lathework.llm.components import components
-from lathework.llm.minwise import flags_of, frequent_slots, signatures
+from lathework.llm.prefixes import CUT, frequency_order, levels_of, prefixes, required
 from lathework.session import materialise
 
-SEGMENTS, WIDTH, BACK, WIDE = 12, 4, 15, 256
-SYMBOLS = SEGMENTS * WIDTH
+SHARED, BACK, WIDE = 4, 15, 256
 FILTER_BITS = 1 << 23
 
 
-def _prints(k: int, packed):
+def _prints(k: int, threshold: float, packed):
     def run(batches):
-        sh, frequent = Shingler(k), flags_of(packed.value)
+        sh, levels = Shingler(k), levels_of(packed.value)
         for b in batches:
             flat, starts = sh.sets(b.column(1).to_pylist())
             c1, c2 = class_ids(flat, starts)
-            fp = signatures(flat, starts, SYMBOLS, frequent)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(c1), pa.array(c2), pa.array([r.tobytes() for r in fp], pa.binary())], ["id", "c1", "c2", "fp"])
+            keys, at = prefixes(flat, starts, threshold, levels, SHARED)
+            # the run alone is kept; the rest of a key follows from its place and the size
+            runs = (keys >> 32).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(c1), pa.array(c2), pa.array(np.diff(starts).astype(np.int32)), pa.array([runs[s:e].tobytes() for s, e in zip(at, at[1:])], pa.binary())],
+                ["id", "c1", "c2", "n", "runs"],
+            )
 
     return run
 
 
-def ball_keys(fp: np.ndarray) -> np.ndarray:
-    """48 keys of each fingerprint: per segment the members of its ball of radius 1, as 6 bits of table and 48 of symbols."""
-    s = fp.reshape(len(fp), SEGMENTS, WIDTH).astype(np.int64)
-    keys = np.empty((len(fp), SEGMENTS, WIDTH), np.int64)
-    for open_ in range(WIDTH):
-        x, y, z = (s[:, :, j] for j in range(WIDTH) if j != open_)
-        keys[:, :, open_] = (x << 32) | (y << 16) | z
-    table = np.arange(SYMBOLS, dtype=np.int64).reshape(SEGMENTS, WIDTH)
-    return (keys | (table << 48)).reshape(len(fp), SYMBOLS)
-
-
 def _keys(batches):
     for b in batches:
-        fp = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
-        ids = np.repeat(np.asarray(b.column(0)), SYMBOLS)
-        keys = ball_keys(fp).reshape(-1)
+        n, runs = np.asarray(b.column(1)).astype(np.int64), b.column(2).to_pylist()
+        size = np.array([len(x) // 4 for x in runs], np.int64)
+        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        all_ = np.repeat(n, size)
+        keys = np.frombuffer(b"".join(runs), np.uint32).astype(np.int64) << 32 | np.minimum(all_, CUT) << 16 | np.minimum(all_ - place, CUT)
+        ids = np.repeat(np.asarray(b.column(0)), size)
         for at in range(0, len(keys), 1 << 17):
             yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + (1 << 17)]), pa.array(ids[at : at + (1 << 17)])], ["key", "id"])
 
 
-def _bucket_pairs(batches):
-    """Of rows sorted by key and id: each row with the first row of its key and with the up to 15 rows before it.
+def _bucket_pairs(threshold: float):
+    """Of rows sorted by key and id: (a, b, need), the pairs of each run that may be alike if they meet ``need`` times.
 
-    The rows of a key that has more than 16 are given again, as (key, id, true), to be met in finer buckets. Memory is
-    bounded whatever the size of a bucket; only the last rows of a batch are kept for the next.
+    A run of more than 256 rows gives each row with the first (smallest) one and with the up to 15 rows before it, as
+    pairs to be verified (need 0), and its rows again, as (key, id, -1). Memory is bounded whatever the size
+    of a bucket: up to 256 rows are kept for the next batch.
     """
-    tail_k, tail_i, lead_k, lead_i, count = np.empty(0, np.int64), np.empty(0, np.int64), None, None, 0
-    for b in batches:
-        if not b.num_rows:
-            continue
-        n0 = len(tail_k)
-        kk, ii = np.concatenate([tail_k, np.asarray(b.column(0))]), np.concatenate([tail_i, np.asarray(b.column(1))])
+
+    def pair(out: list, kx, ix, ky, iy, wide: bool) -> None:
+        need = required(kx, ky, threshold, SHARED)
+        ok = (need > 0) & (ix != iy)
+        ix, iy, need = ix[ok], iy[ok], need[ok]
+        out.append((np.minimum(ix, iy), np.maximum(ix, iy), np.zeros_like(need) if wide else need))
+
+    def narrow(out: list, kk, ii) -> None:
+        run = kk >> 32
         at = np.arange(len(kk))
-        first = np.maximum.accumulate(np.where(np.r_[True, kk[1:] != kk[:-1]], at, 0))
-        lead, place = ii[first], at - first
-        if lead_k is not None:  # the key that the last batch ended with
-            going_on = kk == lead_k
-            lead[going_on] = lead_i
-            place[going_on] += count - int((tail_k == lead_k).sum())
-        parts = [(lead[n0:], ii[n0:])]
-        for d in range(1, BACK + 1):
-            if d >= len(kk):
-                break
-            same = np.flatnonzero(kk[d:] == kk[:-d]) + d
-            same = same[same >= n0]
-            if not len(same):
+        for d in range(1, WIDE):
+            at = at[at >= d]
+            at = at[run[at] == run[at - d]]
+            if not len(at):
                 break
-            parts.append((ii[same - d], ii[same]))
-        a, c = (np.concatenate(x) for x in zip(*parts))
-        keep = a < c
-        late = np.flatnonzero(place > BACK)
-        late = late[late >= n0]
-        turn = late[place[late] == BACK + 1]
-        again = np.concatenate([late, *[turn - d for d in range(1, BACK + 2)]])
-        out = (np.concatenate([a[keep], kk[again]]), np.concatenate([c[keep], ii[again]]), np.r_[np.zeros(int(keep.sum()), bool), np.ones(len(again), bool)])
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["a", "b", "again"])
-        count = int(place[-1]) + 1
-        lead_k, lead_i = kk[-1], lead[-1]
-        tail_k, tail_i = kk[-BACK - 1 :], ii[-BACK - 1 :]
-
-
-def _finer(depth: int):
-    """Of a row in a large bucket: keys that ask for one more equal symbol, of each of the segments.
-
-    What is alike and has met meets again in one of the 12 finer buckets with a probability of 1 - 2**-11 at least.
-    """
+            pair(out, kk[at - d], ii[at - d], kk[at], ii[at], False)
+
+    def broad(out: list, kk, ii, lead, tail) -> tuple:
+        """Rows of one large run, of which ``lead`` is the first and ``tail`` are the last that came before."""
+        pair(out, np.full(len(kk), lead[0]), np.full(len(kk), lead[1]), kk, ii, True)
+        k2, i2 = np.concatenate([tail[0], kk]), np.concatenate([tail[1], ii])
+        for d in range(1, BACK + 1):
+            at = np.arange(max(d, len(tail[0])), len(k2))
+            pair(out, k2[at - d], i2[at - d], k2[at], i2[at], True)
+        out.append((kk, ii, np.full(len(kk), -1, np.int16)))
+        return k2[-BACK:], i2[-BACK:]
+
+    def batch(out: list):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["a", "b", "need"])
 
     def run(batches):
-        for b in batches:
-            key, ids = np.asarray(b.column(0)), np.asarray(b.column(1))
-            fp = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint16).reshape(-1, SEGMENTS, WIDTH)[:, :, depth % WIDTH].astype(np.uint64)
-            more = mix(key.view(np.uint64)[:, None] + mix(fp | (np.arange(SEGMENTS, dtype=np.uint64) << np.uint64(16)) | np.uint64((depth + 1) << 24)))
-            yield pa.RecordBatch.from_arrays([pa.array(more.reshape(-1).view(np.int64)), pa.array(np.repeat(ids, SEGMENTS))], ["key", "id"])
+        none = np.empty(0, np.int64)
+        kept, lead, tail = (none, none), None, (none, none)  # rows of the last run; of a large one its first and last rows
+        for b in _ended(batches):
+            out: list = []
+            kk, ii = (kept[0], kept[1]) if b is None else (np.concatenate([kept[0], np.asarray(b.column(0))]), np.concatenate([kept[1], np.asarray(b.column(1))]))
+            kept = (none, none)
+            if lead is not None:  # the large run goes on
+                m = int(np.searchsorted(kk >> 32, lead[0] >> 32, "right"))
+                if m:
+                    tail = broad(out, kk[:m], ii[:m], lead, tail)
+                    kk, ii = kk[m:], ii[m:]
+                if len(kk):
+                    lead = None
+            if len(kk):
+                first = np.flatnonzero(np.r_[True, kk[1:] >> 32 != kk[:-1] >> 32])
+                ends = np.r_[first[1:], len(kk)]
+                large = ends - first > WIDE
+                if b is not None and not large[-1]:
+                    kept = kk[first[-1] :], ii[first[-1] :]
+                    first, ends, large = first[:-1], ends[:-1], large[:-1]
+                for s, e in zip(first[large], ends[large]):
+                    got = broad(out, kk[s:e], ii[s:e], (kk[s], ii[s]), (none, none))
+                    if e == len(kk):
+                        lead, tail = (kk[s], ii[s]), got
+                small = np.repeat(~large, ends - first)
+                narrow(out, kk[: len(small)][small], ii[: len(small)][small])
+            if out:
+                yield batch(out)
 
     return run
 
 
-def _agreement(batches):
-    """Equal symbols of two fingerprints."""
-    for b in batches:
-        x, y = (np.frombuffer(b"".join(b.column(j).to_pylist()), np.uint16).reshape(-1, SYMBOLS) for j in (2, 3))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array((x == y).sum(1).astype(np.int16))], ["a", "b", "same"])
+def _ended(batches):
+    yield from batches
+    yield None
 
 
 def _sets(k: int, bits):
@@ -157,65 +162,36 @@ def near_duplicate_groups(df: DataFrame, id_col: str, text_cols: list[str], k: i
     an empty table gives no rows; other columns are ignored.
 
     Copies (equal sets of word runs) are collapsed first by partial aggregation, so a group of copies of any size is
-    one row in the index. A bucket links each row with its first row and its 15 predecessors; in a larger bucket the rows
-    that these links leave unconnected are paired too, up to 256 rows, and beyond that split by further symbols, one
-    after the other, so no bucket is cut and none makes all pairs.
+    one row in the index. All pairs of a run are made up to 256 rows. The rows of a larger one are linked with its first row
+    and 15 predecessors.
     """
     spark = df.sparkSession
     text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols])
     rows = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).where("id is not null")
-    packed = spark.sparkContext.broadcast(frequent_slots(rows.select("text"), k))
-    prints = materialise(rows.mapInArrow(_prints(k, packed), "id long, c1 long, c2 long, fp binary"), "prints")
-    reps = materialise(prints.groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.max("id").alias("most")), "classes")
-    copies = prints.select("id", "c1", "c2").join(reps.where("most > id").select("c1", "c2", F.col("id").alias("rep")), ["c1", "c2"]).where("id <> rep").select("id", "rep")
-
-    # Agreement of two texts at the threshold has a deviation of half a symbol times sqrt(48); beyond four of them nothing is left to decide.
-    spread = 4 * (threshold * (1 - threshold) / SYMBOLS) ** 0.5
-    low = int((threshold - spread) * SYMBOLS)
-
-    def meet(keys: DataFrame) -> DataFrame:
-        return materialise(keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_bucket_pairs, "a long, b long, again boolean"), "met")
-
-    def scored(pairs: DataFrame) -> DataFrame:
-        fa, fb = (reps.select(F.col("id").alias(x), F.col("fp").alias("f" + x)) for x in "ab")
-        got = pairs.join(fa, "a").join(fb, "b").select("a", "b", "fa", "fb").mapInArrow(_agreement, "a long, b long, same short")
-        return materialise(got.where(F.col("same") >= low), "scored")
-
-    keys = reps.select("id", "fp").mapInArrow(_keys, "key long, id long")
-    roots = spark.createDataFrame([], "node long, root long")
-    for depth in range(WIDTH + 1):
-        met = meet(keys)
-        links = scored(_across(met.where("not again").select("a", "b").distinct(), roots) if depth else met.where("not again").select("a", "b").distinct())
-        sure = components(roots.select("node", "root").union(_exact(rows, links.select("a", "b"), k, threshold)))
-        large = _spanning(met.where("again").select(F.col("a").alias("key"), F.col("b").alias("id")), sure)
-        more = scored(_pairs_within(large.where(F.col("n") <= WIDE)))
-        near = materialise(_across(more, sure), "near")
-        roots = components(sure.select("node", "root").union(_exact(rows, near.select("a", "b"), k, threshold)))
-        wide = large.where(F.col("n") > WIDE)
-        if depth == WIDTH or wide.isEmpty():
-            break
-        wide = _spanning(wide.select("key", "id"), roots)
-        keys = wide.join(reps.select("id", "fp"), "id").select("key", "id", "fp").mapInArrow(_finer(depth), "key long, id long")
+    packed = spark.sparkContext.broadcast(frequency_order(rows.select("text"), k))
+    prints = materialise(rows.mapInArrow(_prints(k, threshold, packed), "id long, c1 long, c2 long, n int, runs binary"), "prints")
+    classes = prints.groupBy("c1", "c2").agg(F.min("id").alias("rep"), F.max("id").alias("most")).where("most > rep").select("c1", "c2", "rep")
+    copies = prints.select("id", "c1", "c2").join(classes, ["c1", "c2"]).where("id <> rep").select("id", "rep")
+
+    reps = prints.groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("runs").alias("runs"))
+    keys = reps.select("id", "n", "runs").mapInArrow(_keys, "key long, id long")
+    met = keys.repartition(F.expr("shiftright(key, 32)")).sortWithinPartitions("key", "id").mapInArrow(_bucket_pairs(threshold), "a long, b long, need short")
+    met = materialise(met, "met")
+    pairs = _often(met.where("need > 0")).union(met.where("need = 0").select("a", "b").distinct())
+    pairs = materialise(pairs, "pairs")
+    # one partner of each row first, then what that leaves unconnected
+    roots = components(_exact(rows, pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), k, threshold))
+    rest = materialise(_across(pairs, roots), "rest")
+    roots = components(roots.union(_exact(rows, rest, k, threshold)))
     # members of classes follow their representative
     label = roots.select(F.col("node").alias("rep"), "root")
     out = copies.join(label, "rep", "left").select(F.coalesce("root", "rep").alias("group_id"), "id")
     return out.union(roots.select(F.col("root").alias("group_id"), F.col("node").alias("id")))
 
 
-def _spanning(large: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, id, root, n): the rows of large buckets whose n rows aren't all in one component yet.
-
-    A family of near duplicates, however large, is one component through the first row of its bucket and is left out.
-    """
-    got = large.join(labels, large.id == labels.node, "left").select("key", "id", F.coalesce("root", "id").alias("root"))
-    keys = got.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("key", "n")
-    return materialise(got.join(keys, "key"), "large")
-
-
-def _pairs_within(rows: DataFrame) -> DataFrame:
-    """(a, b): rows of one key and different components, for keys of at most ``WIDE`` rows."""
-    x, y = (rows.select("key", F.col("id").alias(c), F.col("root").alias("r" + c)) for c in "ab")
-    return x.join(y, "key").where("a < b and ra <> rb").select("a", "b").distinct()
+def _often(met: DataFrame) -> DataFrame:
+    """(a, b): the pairs that meet as often as alike ones must."""
+    return met.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("a", "b")
 
 
 def _exact(rows: DataFrame, pairs: DataFrame, k: int, threshold: float) -> DataFrame:

@@ -38,3 +38,16 @@ def test_different_boilerplate_is_not_alike(spark):
         texts[2 * i], texts[2 * i + 1] = f"{own} {left}", f"{own} {right}"
     assert groups(texts) == set()
     assert found(spark, texts) == set()
+
+
+def test_pairs_alike_through_frequent_runs(spark):
+    """Frequent templates, each with one pair that has little of its own among rows that have much."""
+    rng = random.Random(2)
+    texts = {}
+    for j in range(12):
+        template = fresh(rng, 22)
+        for i in range(60):
+            texts[100 * j + i] = f"{template} {fresh(rng, 8 if i in (7, 50) else 100)}"
+    want = groups(texts)
+    assert want == {(100 * j + 7, 100 * j + 50) for j in range(12)}
+    assert found(spark, texts) == want
