@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lathework.functions.words import Shingler, class_ids, pair_likeness
 from lathework.llm.components import components
-from lathework.llm.prefixes import CUT, frequency_order, levels_of, prefixes, required
+from lathework.llm.prefixes import CUT, frequency_order, levels_of, prefixes, required, required_sql
 from lathework.session import materialise
 
 SHARED, BACK, WIDE = 4, 15, 256
@@ -163,7 +163,8 @@ def near_duplicate_groups(df: DataFrame, id_col: str, text_cols: list[str], k: i
 
     Copies (equal sets of word runs) are collapsed first by partial aggregation, so a group of copies of any size is
     one row in the index. All pairs of a run are made up to 256 rows. The rows of a larger one are linked with its first row
-    and 15 predecessors.
+    and 15 predecessors first; where that leaves them in several components, all pairs across these are made, in blocks of
+    rows. So no bucket is cut, and only one whose rows stay apart makes all pairs.
     """
     spark = df.sparkSession
     text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols])
@@ -183,6 +184,10 @@ def near_duplicate_groups(df: DataFrame, id_col: str, text_cols: list[str], k: i
     roots = components(_exact(rows, pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), k, threshold))
     rest = materialise(_across(pairs, roots), "rest")
     roots = components(roots.union(_exact(rows, rest, k, threshold)))
+    large = _spanning(met.where("need = -1").select(F.col("a").alias("key"), F.col("b").alias("id")), roots)
+    if not large.isEmpty():
+        more = materialise(_often(_across(met.where("need > 0"), roots).union(_pairs_within(large, threshold))), "more")
+        roots = components(roots.union(_exact(rows, more, k, threshold)))
     # members of classes follow their representative
     label = roots.select(F.col("node").alias("rep"), "root")
     out = copies.join(label, "rep", "left").select(F.coalesce("root", "rep").alias("group_id"), "id")
@@ -194,6 +199,26 @@ def _often(met: DataFrame) -> DataFrame:
     return met.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("a", "b")
 
 
+def _spanning(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """(run, key, id, root, parts): the rows of large runs whose rows aren't all in one component yet.
+
+    A family of near duplicates, however large, is one component through the first row of its run and is left out.
+    """
+    got = large.join(labels, large.id == labels.node, "left").select(F.expr("shiftright(key, 32)").alias("run"), "key", "id", F.coalesce("root", "id").alias("root"))
+    runs = got.groupBy("run").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo < hi")
+    return materialise(got.join(runs.select("run", F.expr(f"cast(ceil(n / {WIDE}) as int)").alias("parts")), "run"), "large")
+
+
+def _pairs_within(large: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, need): all pairs of a run across components, each two blocks of about 256 rows a group of their own."""
+    rows = large.withColumn("block", F.expr("cast(pmod(xxhash64(id), parts) as int)"))
+    x = rows.select("run", F.col("block").alias("lo"), F.explode(F.expr("sequence(block, parts - 1)")).alias("hi"), F.col("key").alias("kx"), F.col("id").alias("x"), F.col("root").alias("rx"))
+    y = rows.select("run", F.explode(F.expr("sequence(0, block)")).alias("lo"), F.col("block").alias("hi"), F.col("key").alias("ky"), F.col("id").alias("y"), F.col("root").alias("ry"))
+    need = F.expr(required_sql("kx", "ky", threshold, SHARED))
+    got = x.join(y, ["run", "lo", "hi"]).where("rx <> ry and (lo < hi or x < y)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), need.alias("need"))
+    return got.where("need > 0")
+
+
 def _exact(rows: DataFrame, pairs: DataFrame, k: int, threshold: float) -> DataFrame:
     """The pairs whose likeness reaches the threshold; only the texts that take part are brought to their pairs."""
     spark = rows.sparkSession

@@ -51,3 +51,13 @@ def test_pairs_alike_through_frequent_runs(spark):
     want = groups(texts)
     assert want == {(100 * j + 7, 100 * j + 50) for j in range(12)}
     assert found(spark, texts) == want
+
+
+def test_large_buckets_are_compared_in_full(spark):
+    """Rows of six of 40 phrases each: every phrase in more than 256 rows, most pairs of these not alike."""
+    rng = random.Random(3)
+    phrases = [fresh(rng, 13) for _ in range(40)]
+    texts = {i: "".join(f"{p} {fresh(rng, 1)} " for p in rng.sample(phrases, 6)) for i in range(2200)}
+    want = groups(texts)
+    assert len(want) > 50
+    assert found(spark, texts) == want
