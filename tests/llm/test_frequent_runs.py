@@ -4,6 +4,7 @@ import itertools
 import random
 from collections import Counter
 
+from lathework.llm.history import known_questions
 from lathework.llm.near_duplicates import near_duplicate_groups
 from tests.llm.test_words_bruteforce import runs, union_find
 
@@ -61,3 +62,15 @@ def test_large_buckets_are_compared_in_full(spark):
     want = groups(texts)
     assert len(want) > 50
     assert found(spark, texts) == want
+
+
+def test_known_through_frequent_runs(spark):
+    """Questions of a frequent template (6 runs) with two runs of their own: likeness 0.6."""
+    rng = random.Random(4)
+    history, batch = [], []
+    for j in range(30):
+        template = fresh(rng, 7)
+        history += [(100 * j + i, f"{template} {fresh(rng, 2 if i == 30 else 40)}") for i in range(60)]
+        batch += [(10 * j, 1, f"{template} {fresh(rng, 2)}"), (10 * j + 1, 1, fresh(rng, 9))]
+    h, b = spark.createDataFrame(history, "id long, q string"), spark.createDataFrame(batch, "lesson long, day int, question string")
+    assert {r.id for r in known_questions(h, "id", "q", b, "lesson", "day", "question").collect()} == {10 * j for j in range(30)}
