@@ -20,10 +20,10 @@ SLOTS, SHIFT = 1 << 22, np.uint32(10)
 CUT = 0xFFFF  # sizes are kept in 16 bits; a longer set passes every test of size
 
 
-def frequency_order(texts: DataFrame, k: int, share: float = 0.0002, floor: int = 8) -> bytes:
+def frequency_order(texts: DataFrame, k: int, share: float = 0.00006, floor: int = 8) -> bytes:
     """The slots (22 bits of a run's hash) that ``share`` of all texts hold, with their level of frequency.
 
-    ``texts`` has one string column. Every text is counted; a partition reports what a third of ``share`` of its texts hold.
+    ``texts`` has one string column. Every text is counted; a partition reports what a third of ``share`` of its texts hold, and two at least.
     Less than runs per text / ``share`` slots are sent to the driver, whatever the number of texts.
     """
 
@@ -35,14 +35,15 @@ def frequency_order(texts: DataFrame, k: int, share: float = 0.0002, floor: int
             at, m = np.unique(flat >> SHIFT, return_counts=True)
             c[at] += m.astype(np.int32)
             n += len(texts)
-        slots = np.flatnonzero(c >= max(3, share * n / 3))
+        slots = np.flatnonzero(c >= max(2, share * n / 3))
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, slots].astype(np.int32)), pa.array(np.r_[n, c[slots]].astype(np.int64))], ["slot", "n"])
 
     got = materialise(texts.mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")), "slots")
     total = got.where("slot = -1").first()
     least = max(floor, share * (total.n if total else 0))
-    rows = got.where((F.col("slot") >= 0) & (F.col("n") >= least)).select("slot", F.expr(f"cast(least(1 + round(4 * log2(n / {least!r}D)), 255) as int)").alias("level")).collect()
-    return np.array([r.slot << 8 | r.level for r in rows], np.uint32).tobytes()
+    level = F.expr(f"cast(least(1 + round(4 * log2(n / {least!r}D)), 255) as long)")
+    rows = got.where((F.col("slot") >= 0) & (F.col("n") >= least)).select((F.col("slot") * F.lit(256).cast("long") + level).alias("x")).toArrow()
+    return rows.column("x").to_numpy().astype(np.uint32).tobytes()
 
 
 def levels_of(packed: bytes) -> np.ndarray:
