@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 import numpy as np
 import regex
-import xxhash
 
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _FORMAT = regex.compile(r"\p{Cf}+")
@@ -46,6 +46,61 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S29)
 
 
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    """Of each code point: 1 in words, 2 invisible format characters, 0 others."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    kinds = np.zeros(0x110000, np.uint8)
+    for kind, pattern in ((1, _WORD), (2, _FORMAT)):
+        for m in pattern.finditer(every):
+            s, e = (x if x < 0xD800 else x + 0x800 for x in m.span())
+            kinds[s:e] = kind
+    kinds[0xD800:0xE000] = 0
+    return kinds
+
+
+def _blanked(texts: list[str]) -> list[bytes]:
+    """The texts as ``norm`` gives them, in UTF-8, with blanks for all that isn't in a word."""
+    points = lambda s: np.frombuffer(s.encode("utf-32-le"), np.uint32)
+    joined = "\0".join(unicodedata.normalize("NFKC", t.replace("\0", " ")) for t in texts)
+    x = points(joined)
+    x = points(x[_kinds()[x] != 2].tobytes().decode("utf-32-le").lower())
+    x = np.where((_kinds()[x] == 1) | (x == 0), x, np.uint32(32))
+    return x.tobytes().decode("utf-32-le").encode().split(b"\0")
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, in order, and the number of words of each text."""
+    parts, other = [], []
+    for i, t in enumerate(texts):
+        if not t:
+            parts.append(b"")
+        elif t.isascii():
+            parts.append(t.encode().translate(_ASCII))
+        else:
+            parts.append(b"")
+            other.append(i)
+    for i, x in zip(other, _blanked([texts[i] for i in other])):
+        parts[i] = x
+    data = b" " + b" ".join(parts) + b" " * 9
+    inside = np.frombuffer(data, np.uint8) != 32
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    first, size = edges[0::2], edges[1::2] - edges[0::2]
+    eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))  # the 8 bytes from each place on
+    h = mix(size.astype(np.uint64) * _MULT[4])
+    at, done = np.arange(len(first)), 0
+    while len(at):
+        x = eight[first[at] + done] & _LOW[np.minimum(size[at] - done, 8)]
+        h[at] = mix(h[at] + x * _MULT[0])
+        done += 8
+        at = at[size[at] > done]
+    ends = np.cumsum([len(x) + 1 for x in parts], dtype=np.int64) if parts else np.empty(0, np.int64)
+    return h, np.diff(np.searchsorted(first, ends + 1), prepend=0)
+
+
+_LOW = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+
+
 class Shingler:
     """Distinct runs of ``k`` words of each text as sorted 32-bit hashes.
 
@@ -53,34 +108,18 @@ class Shingler:
     ``flat, starts = sets(texts)``: the set of text i is flat[starts[i]:starts[i + 1]].
     """
 
-    def __init__(self, k: int, cache: int = 1 << 19):
-        self.k, self.limit, self.cache = k, cache, {}
-
-    def _ids(self, ws: list[bytes] | list[str]) -> list[int]:
-        c = self.cache
-        if len(c) > self.limit:
-            c.clear()
-        try:
-            return [c[w] for w in ws]
-        except KeyError:
-            for w in ws:
-                if w not in c:
-                    c[w] = xxhash.xxh3_64_intdigest(w)
-            return [c[w] for w in ws]
+    def __init__(self, k: int):
+        self.k = k
 
     def sets(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        k, ids, n = self.k, [], np.empty(len(texts), np.int64)
-        for i, t in enumerate(texts):
-            w = self._ids(word_bytes(t))
-            n[i] = len(w)
-            if len(w) < k:  # one run, of its own length
-                w = w + [len(w) + 1] * (k - len(w))
-            ids.extend(w)
+        k = self.k
         if not len(texts):
             return np.empty(0, np.uint32), np.zeros(1, np.int64)
-        x = np.array(ids, np.uint64)
+        ids, n = word_hashes(texts)
         size = np.maximum(n, k)
         ends = np.cumsum(size)
+        x = np.repeat((n + 1).astype(np.uint64), size)  # fills short texts up: one run, of its own length
+        x[np.arange(len(ids)) + np.repeat(ends - size - np.cumsum(n) + n, n)] = ids
         h = np.zeros(len(x) - k + 1, np.uint64)
         for j in range(k):
             h = mix(h + x[j : len(x) - k + 1 + j] * _MULT[j % 5])
