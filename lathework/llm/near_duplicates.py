@@ -1,8 +1,13 @@
-"""Near duplicates: groups of rows whose texts share most of their word runs (exact prefix filter).
+"""Near duplicates: groups of rows whose texts share most of their word runs (multi-index hashing).
 
-Rows that may be alike meet under the first of their runs, rare ones first (``prefixes``). A pair that meets as often as
-alike rows must is a candidate, and its exact likeness decides. No alike pair is lost on the way, whether rare
-or frequent runs carry its likeness.
+The fingerprint of a text is 64 minwise symbols of 16 bits; its Hamming distance (symbols that differ) over 64
+estimates 1 - likeness. It is cut into 16 segments of 4 symbols; of each segment the ball of radius 1 in symbols is
+enumerated (the 4 keys that leave one symbol open), and rows that meet under a key are candidates. Their complete
+distances are computed, and the exact likeness of those that are near enough decides every link.
+
+Rows of a likeness J meet in a segment with a probability of J**4 + 4 * J**3 * (1 - J), so a pair at the threshold of
+0.5 is found with 0.9975, one at 0.55 with 0.9997; frequent runs count like any other. What a large bucket leaves
+unconnected is compared by an exact prefix filter (``prefixes``), which loses no pair.
 """
 
 from __future__ import annotations
@@ -14,110 +19,103 @@ from pyspark.sql import functions as F
 
 from lathework.functions.words import Shingler, class_ids, pair_likeness
 from lathework.llm.components import components
-from lathework.llm.prefixes import CUT, frequency_order, levels_of, prefixes, required, required_sql
+from lathework.llm.minwise import signatures
+from lathework.llm.prefixes import PROBE, frequency_order, levels_of, prefixes, required_sql
 from lathework.session import materialise
 
-SHARED, BACK, WIDE = 4, 15, 256
+SEGMENTS, WIDTH = 16, 4
+SYMBOLS = SEGMENTS * WIDTH
+FEW, BACK, WIDE = 32, 3, 256  # rows of a bucket that are paired at once; predecessors in a larger one; rows that are paired across components
+SHARED = 4
 FILTER_BITS = 1 << 23
 
 
-def _prints(k: int, threshold: float, packed):
+def _prints(k: int):
     def run(batches):
-        sh, levels = Shingler(k), levels_of(packed.value)
+        sh = Shingler(k)
         for b in batches:
             flat, starts = sh.sets(b.column(1).to_pylist())
             c1, c2 = class_ids(flat, starts)
-            keys, at = prefixes(flat, starts, threshold, levels, SHARED)
-            # the run alone is kept; the rest of a key follows from its place and the size
-            runs = (keys >> 32).astype(np.uint32)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(c1), pa.array(c2), pa.array(np.diff(starts).astype(np.int32)), pa.array([runs[s:e].tobytes() for s, e in zip(at, at[1:])], pa.binary())],
-                ["id", "c1", "c2", "n", "runs"],
-            )
+            fp = signatures(flat, starts, SYMBOLS)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(c1), pa.array(c2), pa.array([r.tobytes() for r in fp], pa.binary())], ["id", "c1", "c2", "fp"])
 
     return run
 
 
+def ball_keys(fp: np.ndarray) -> np.ndarray:
+    """64 keys of each fingerprint: per segment the members of its ball of radius 1, as 6 bits of table and 48 of symbols."""
+    s = fp.reshape(len(fp), SEGMENTS, WIDTH).astype(np.int64)
+    keys = np.empty((len(fp), SEGMENTS, WIDTH), np.int64)
+    for open_ in range(WIDTH):
+        x, y, z = (s[:, :, j] for j in range(WIDTH) if j != open_)
+        keys[:, :, open_] = (x << 32) | (y << 16) | z
+    table = np.arange(SYMBOLS, dtype=np.int64).reshape(SEGMENTS, WIDTH)
+    return (keys | (table << 48)).reshape(len(fp), SYMBOLS)
+
+
 def _keys(batches):
     for b in batches:
-        n, runs = np.asarray(b.column(1)).astype(np.int64), b.column(2).to_pylist()
-        size = np.array([len(x) // 4 for x in runs], np.int64)
-        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        all_ = np.repeat(n, size)
-        keys = np.frombuffer(b"".join(runs), np.uint32).astype(np.int64) << 32 | np.minimum(all_, CUT) << 16 | np.minimum(all_ - place, CUT)
-        ids = np.repeat(np.asarray(b.column(0)), size)
+        fp = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+        ids = np.repeat(np.asarray(b.column(0)), SYMBOLS)
+        keys = ball_keys(fp).reshape(-1)
         for at in range(0, len(keys), 1 << 17):
             yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + (1 << 17)]), pa.array(ids[at : at + (1 << 17)])], ["key", "id"])
 
 
-def _bucket_pairs(threshold: float):
-    """Of rows sorted by key and id: (a, b, need), the pairs of each run that may be alike if they meet ``need`` times.
+def _bucket_pairs(batches):
+    """Of rows sorted by key and id: (a, b, false), all pairs of a key of at most 32 rows.
 
-    A run of more than 256 rows gives each row with the first (smallest) one and with the up to 15 rows before it, as
-    pairs to be verified (need 0), and its rows again, as (key, id, -1). Memory is bounded whatever the size
-    of a bucket: up to 256 rows are kept for the next batch.
+    A larger key gives each row with the first (smallest) one and with the up to 3 rows before it, and its rows again, as
+    (key, id, true). Memory is bounded whatever the size of a bucket: up to 32 rows are kept for the next batch.
     """
 
-    def pair(out: list, kx, ix, ky, iy, wide: bool) -> None:
-        need = required(kx, ky, threshold, SHARED)
-        ok = (need > 0) & (ix != iy)
-        ix, iy, need = ix[ok], iy[ok], need[ok]
-        out.append((np.minimum(ix, iy), np.maximum(ix, iy), np.zeros_like(need) if wide else need))
-
-    def narrow(out: list, kk, ii) -> None:
-        run = kk >> 32
-        at = np.arange(len(kk))
-        for d in range(1, WIDE):
-            at = at[at >= d]
-            at = at[run[at] == run[at - d]]
-            if not len(at):
-                break
-            pair(out, kk[at - d], ii[at - d], kk[at], ii[at], False)
-
-    def broad(out: list, kk, ii, lead, tail) -> tuple:
-        """Rows of one large run, of which ``lead`` is the first and ``tail`` are the last that came before."""
-        pair(out, np.full(len(kk), lead[0]), np.full(len(kk), lead[1]), kk, ii, True)
-        k2, i2 = np.concatenate([tail[0], kk]), np.concatenate([tail[1], ii])
+    def broad(out: list, kk, ii, lead, tail) -> np.ndarray:
+        """Rows of one large bucket, whose first row is ``lead`` and whose last rows before are ``tail``."""
+        i2 = np.concatenate([tail, ii])
+        out.append((np.full(len(ii), lead), ii, np.zeros(len(ii), bool)))
         for d in range(1, BACK + 1):
-            at = np.arange(max(d, len(tail[0])), len(k2))
-            pair(out, k2[at - d], i2[at - d], k2[at], i2[at], True)
-        out.append((kk, ii, np.full(len(kk), -1, np.int16)))
-        return k2[-BACK:], i2[-BACK:]
-
-    def batch(out: list):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["a", "b", "need"])
-
-    def run(batches):
-        none = np.empty(0, np.int64)
-        kept, lead, tail = (none, none), None, (none, none)  # rows of the last run; of a large one its first and last rows
-        for b in _ended(batches):
-            out: list = []
-            kk, ii = (kept[0], kept[1]) if b is None else (np.concatenate([kept[0], np.asarray(b.column(0))]), np.concatenate([kept[1], np.asarray(b.column(1))]))
-            kept = (none, none)
-            if lead is not None:  # the large run goes on
-                m = int(np.searchsorted(kk >> 32, lead[0] >> 32, "right"))
-                if m:
-                    tail = broad(out, kk[:m], ii[:m], lead, tail)
-                    kk, ii = kk[m:], ii[m:]
-                if len(kk):
-                    lead = None
+            at = np.arange(max(d, len(tail)), len(i2))
+            out.append((i2[at - d], i2[at], np.zeros(len(at), bool)))
+        out.append((kk, ii, np.ones(len(kk), bool)))
+        return i2[-BACK:]
+
+    none = np.empty(0, np.int64)
+    kept, lead, tail = (none, none), None, none  # rows of the last key; of a large one its first row and last rows
+    for b in _ended(batches):
+        out: list = []
+        kk, ii = kept if b is None else (np.concatenate([kept[0], np.asarray(b.column(0))]), np.concatenate([kept[1], np.asarray(b.column(1))]))
+        kept = (none, none)
+        if lead is not None:  # the large bucket goes on
+            m = int(np.searchsorted(kk, lead[0], "right"))
+            if m:
+                tail = broad(out, kk[:m], ii[:m], lead[1], tail)
+                kk, ii = kk[m:], ii[m:]
             if len(kk):
-                first = np.flatnonzero(np.r_[True, kk[1:] >> 32 != kk[:-1] >> 32])
-                ends = np.r_[first[1:], len(kk)]
-                large = ends - first > WIDE
-                if b is not None and not large[-1]:
-                    kept = kk[first[-1] :], ii[first[-1] :]
-                    first, ends, large = first[:-1], ends[:-1], large[:-1]
-                for s, e in zip(first[large], ends[large]):
-                    got = broad(out, kk[s:e], ii[s:e], (kk[s], ii[s]), (none, none))
-                    if e == len(kk):
-                        lead, tail = (kk[s], ii[s]), got
-                small = np.repeat(~large, ends - first)
-                narrow(out, kk[: len(small)][small], ii[: len(small)][small])
-            if out:
-                yield batch(out)
-
-    return run
+                lead = None
+        if len(kk):
+            first = np.flatnonzero(np.r_[True, kk[1:] != kk[:-1]])
+            ends = np.r_[first[1:], len(kk)]
+            large = ends - first > FEW
+            if b is not None and not large[-1]:
+                kept = kk[first[-1] :], ii[first[-1] :]
+                first, ends, large = first[:-1], ends[:-1], large[:-1]
+            for s, e in zip(first[large], ends[large]):
+                tail = broad(out, kk[s:e], ii[s:e], ii[s], none)
+                if e == len(kk):
+                    lead = kk[s], ii[s]
+            small = np.repeat(~large, ends - first)
+            kk, ii = kk[: len(small)][small], ii[: len(small)][small]
+            at = np.arange(len(kk))
+            for d in range(1, FEW):
+                at = at[at >= d]
+                at = at[kk[at] == kk[at - d]]
+                if not len(at):
+                    break
+                out.append((ii[at - d], ii[at], np.zeros(len(at), bool)))
+        if out:
+            a, c, again = (np.concatenate(x) for x in zip(*out))
+            keep = again | (a != c)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (a, c, again)], ["a", "b", "again"])
 
 
 def _ended(batches):
@@ -125,6 +123,13 @@ def _ended(batches):
     yield None
 
 
+def _agreement(batches):
+    """Equal symbols of two fingerprints."""
+    for b in batches:
+        x, y = (np.frombuffer(b"".join(b.column(j).to_pylist()), np.uint16).reshape(-1, SYMBOLS) for j in (2, 3))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array((x == y).sum(1).astype(np.int16))], ["a", "b", "same"])
+
+
 def _sets(k: int, bits):
     def run(batches):
         sh, want = Shingler(k), np.unpackbits(np.frombuffer(bits.value, np.uint8)).astype(bool)
@@ -162,61 +167,100 @@ def near_duplicate_groups(df: DataFrame, id_col: str, text_cols: list[str], k: i
     an empty table gives no rows; other columns are ignored.
 
     Copies (equal sets of word runs) are collapsed first by partial aggregation, so a group of copies of any size is
-    one row in the index. All pairs of a run are made up to 256 rows. The rows of a larger one are linked with its first row
-    and 15 predecessors first; where that leaves them in several components, all pairs across these are made, in blocks of
-    rows. So no bucket is cut, and only one whose rows stay apart makes all pairs.
+    one row in the index. Of a bucket all pairs are made up to 32 rows; a larger one links its rows with the first and 3 predecessors,
+    and, where that leaves it in several components, pairs its rows across them, up to 256 rows. Rows of buckets still
+    larger go through the prefix filter together, across components. So no bucket is cut and none makes all its pairs.
     """
-    spark = df.sparkSession
     text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols])
     rows = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).where("id is not null")
-    packed = spark.sparkContext.broadcast(frequency_order(rows.select("text"), k))
-    prints = materialise(rows.mapInArrow(_prints(k, threshold, packed), "id long, c1 long, c2 long, n int, runs binary"), "prints")
+    prints = materialise(rows.mapInArrow(_prints(k), "id long, c1 long, c2 long, fp binary"), "prints")
     classes = prints.groupBy("c1", "c2").agg(F.min("id").alias("rep"), F.max("id").alias("most")).where("most > rep").select("c1", "c2", "rep")
     copies = prints.select("id", "c1", "c2").join(classes, ["c1", "c2"]).where("id <> rep").select("id", "rep")
-
-    reps = prints.groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("runs").alias("runs"))
-    keys = reps.select("id", "n", "runs").mapInArrow(_keys, "key long, id long")
-    met = keys.repartition(F.expr("shiftright(key, 32)")).sortWithinPartitions("key", "id").mapInArrow(_bucket_pairs(threshold), "a long, b long, need short")
-    met = materialise(met, "met")
-    pairs = _often(met.where("need > 0")).union(met.where("need = 0").select("a", "b").distinct())
-    pairs = materialise(pairs, "pairs")
-    # one partner of each row first, then what that leaves unconnected
-    roots = components(_exact(rows, pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), k, threshold))
-    rest = materialise(_across(pairs, roots), "rest")
-    roots = components(roots.union(_exact(rows, rest, k, threshold)))
-    large = _spanning(met.where("need = -1").select(F.col("a").alias("key"), F.col("b").alias("id")), roots)
-    if not large.isEmpty():
-        more = materialise(_often(_across(met.where("need > 0"), roots).union(_pairs_within(large, threshold))), "more")
-        roots = components(roots.union(_exact(rows, more, k, threshold)))
+    reps = materialise(prints.groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("fp").alias("fp")).select("id", "fp"), "classes")
+
+    # Agreement of two texts at the threshold has a deviation of half a symbol times sqrt(64); beyond four of them nothing is alike.
+    low = int((threshold - 4 * (threshold * (1 - threshold) / SYMBOLS) ** 0.5) * SYMBOLS)
+
+    def near(pairs: DataFrame) -> DataFrame:
+        """The pairs whose complete distance doesn't rule them out."""
+        fa, fb = (reps.select(F.col("id").alias(x), F.col("fp").alias("f" + x)) for x in "ab")
+        got = pairs.join(fa, "a").join(fb, "b").select("a", "b", "fa", "fb").mapInArrow(_agreement, "a long, b long, same short")
+        return materialise(got.where(F.col("same") >= low).select("a", "b"), "near")
+
+    keys = reps.mapInArrow(_keys, "key long, id long")
+    met = materialise(keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_bucket_pairs, "a long, b long, again boolean"), "met")
+    pairs = materialise(met.where("not again").groupBy("a", "b").agg(F.count("*").alias("n")), "pairs")
+    # the partner that each row meets most often first, then what that leaves unconnected
+    best = pairs.groupBy("b").agg(F.max(F.struct("n", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
+    roots = components(_exact(rows, near(best), k, threshold))
+    large = _spanning(met.where("again").select(F.col("a").alias("key"), F.col("b").alias("id")), roots)
+    rest = _across(pairs.select("a", "b"), roots).union(_pairs_within(large.where(F.col("n") <= WIDE))).distinct()
+    roots = components(roots.union(_exact(rows, near(rest), k, threshold)))
+    wide = _spanning(large.where(F.col("n") > WIDE).select("key", "id"), roots)
+    if not wide.isEmpty():
+        roots = components(roots.union(_prefix_links(rows, wide.select("id", "root").distinct(), k, threshold)))
     # members of classes follow their representative
     label = roots.select(F.col("node").alias("rep"), "root")
     out = copies.join(label, "rep", "left").select(F.coalesce("root", "rep").alias("group_id"), "id")
     return out.union(roots.select(F.col("root").alias("group_id"), F.col("node").alias("id")))
 
 
-def _often(met: DataFrame) -> DataFrame:
-    """(a, b): the pairs that meet as often as alike ones must."""
-    return met.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("a", "b")
-
-
 def _spanning(large: DataFrame, labels: DataFrame) -> DataFrame:
-    """(run, key, id, root, parts): the rows of large runs whose rows aren't all in one component yet.
+    """(key, id, root, n): the rows of large buckets whose n rows aren't all in one component yet.
 
-    A family of near duplicates, however large, is one component through the first row of its run and is left out.
+    A family of near duplicates, however large, is one component through the first row of its bucket and is left out.
     """
-    got = large.join(labels, large.id == labels.node, "left").select(F.expr("shiftright(key, 32)").alias("run"), "key", "id", F.coalesce("root", "id").alias("root"))
-    runs = got.groupBy("run").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-    return materialise(got.join(runs.select("run", F.expr(f"cast(ceil(n / {WIDE}) as int)").alias("parts")), "run"), "large")
-
-
-def _pairs_within(large: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, need): all pairs of a run across components, each two blocks of about 256 rows a group of their own."""
-    rows = large.withColumn("block", F.expr("cast(pmod(xxhash64(id), parts) as int)"))
-    x = rows.select("run", F.col("block").alias("lo"), F.explode(F.expr("sequence(block, parts - 1)")).alias("hi"), F.col("key").alias("kx"), F.col("id").alias("x"), F.col("root").alias("rx"))
-    y = rows.select("run", F.explode(F.expr("sequence(0, block)")).alias("lo"), F.col("block").alias("hi"), F.col("key").alias("ky"), F.col("id").alias("y"), F.col("root").alias("ry"))
-    need = F.expr(required_sql("kx", "ky", threshold, SHARED))
-    got = x.join(y, ["run", "lo", "hi"]).where("rx <> ry and (lo < hi or x < y)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), need.alias("need"))
-    return got.where("need > 0")
+    got = large.join(labels, large.id == labels.node, "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    keys = got.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("key", "n")
+    return materialise(got.join(keys, "key"), "large")
+
+
+def _pairs_within(rows: DataFrame) -> DataFrame:
+    """(a, b): rows of one key and different components, for keys of at most ``WIDE`` rows."""
+    x, y = (rows.select("key", F.col("id").alias(c), F.col("root").alias("r" + c)) for c in "ab")
+    return x.join(y, "key").where("a < b and ra <> rb").select("a", "b")
+
+
+def _slots(threshold: float, packed):
+    def run(batches):
+        levels = levels_of(packed.value)
+        for b in batches:
+            sets = b.column(2).to_pylist()
+            starts = np.cumsum([0] + [len(x) // 4 for x in sets])
+            slot, key, at, side = prefixes(np.frombuffer(b"".join(sets), np.uint32), starts, threshold, levels, SHARED, False)
+            ids, roots = (np.asarray(b.column(j))[at] for j in (0, 1))
+            for i in range(0, len(slot), 1 << 17):
+                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 17)]) for x in (slot, key, ids, roots, side)], ["slot", "key", "id", "root", "side"])
+
+    return run
+
+
+def _prefix_links(rows: DataFrame, members: DataFrame, k: int, threshold: float) -> DataFrame:
+    """(a, b): the alike pairs across components among ``members`` (id, root)."""
+    spark = rows.sparkSession
+    texts = members.join(rows, "id").select("id", "root", "text")
+    sets = materialise(texts.mapInArrow(_all_sets(k), "id long, root long, set binary"), "hot")
+    packed = spark.sparkContext.broadcast(frequency_order(sets.select("set")))
+    slots = materialise(sets.mapInArrow(_slots(threshold, packed), "slot long, key long, id long, root long, side byte"), "slots")
+    x = slots.where(F.col("side") >= PROBE).select("slot", "side", F.col("key").alias("kx"), F.col("id").alias("x"), F.col("root").alias("rx"))
+    y = slots.where(F.col("side") != PROBE).select("slot", F.col("key").alias("ky"), F.col("id").alias("y"), F.col("root").alias("ry"))
+    # of a split run only the smaller set asks, of others both do
+    once = f"if(side = {PROBE}, kx div 65536 < ky div 65536 or (kx div 65536 = ky div 65536 and x < y), x < y)"
+    got = x.join(y, "slot").where(f"rx <> ry and {once}").withColumn("need", F.expr(required_sql("kx", "ky", threshold, SHARED))).where("need > 0")
+    got = got.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "need")
+    pairs = got.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("a", "b")
+    sa, sb = (sets.select(F.col("id").alias(c), F.col("set").alias("s" + c)) for c in "ab")
+    return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_verify(threshold), "a long, b long")
+
+
+def _all_sets(k: int):
+    def run(batches):
+        sh = Shingler(k)
+        for b in batches:
+            flat, starts = sh.sets(b.column(2).to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([flat[s:e].tobytes() for s, e in zip(starts, starts[1:])], pa.binary())], ["id", "root", "set"])
+
+    return run
 
 
 def _exact(rows: DataFrame, pairs: DataFrame, k: int, threshold: float) -> DataFrame:

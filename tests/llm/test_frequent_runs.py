@@ -4,7 +4,7 @@ import itertools
 import random
 from collections import Counter
 
-from lathework.llm.history import known_questions
+from lathework.llm.history import History, known_questions
 from lathework.llm.near_duplicates import near_duplicate_groups
 from tests.llm.test_words_bruteforce import runs, union_find
 
@@ -74,3 +74,56 @@ def test_known_through_frequent_runs(spark):
         batch += [(10 * j, 1, f"{template} {fresh(rng, 2)}"), (10 * j + 1, 1, fresh(rng, 9))]
     h, b = spark.createDataFrame(history, "id long, q string"), spark.createDataFrame(batch, "lesson long, day int, question string")
     assert {r.id for r in known_questions(h, "id", "q", b, "lesson", "day", "question").collect()} == {10 * j for j in range(30)}
+
+
+def test_buckets_that_stay_unconnected(spark):
+    """Nearly half of every row is one boilerplate: large buckets of rows that aren't alike, with some alike pairs among them."""
+    rng = random.Random(5)
+    common, texts = fresh(rng, 36), {}
+    for i in range(0, 4200, 2):
+        own = [fresh(rng, 1) for _ in range(40)]
+        texts[i] = f"{common} {' '.join(own)}"
+        changed = rng.choice((10, 13, 14, 15, 18)) if i % 40 == 0 else 40
+        texts[i + 1] = f"{common} {' '.join(own[:40 - changed])} {fresh(rng, changed)}"
+    sets = {i: runs(t, 3) for i, t in texts.items()}
+    want = {(i, i + 1) for i in range(0, 4200, 2) if len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) >= 0.5}
+    assert 30 < len(want) < 110  # other pairs share the boilerplate alone, a likeness of a third
+    assert found(spark, texts) == want
+
+
+def test_known_among_a_hot_phrase(spark):
+    """20,000 questions share a phrase too short to make them alike; buckets and parts are many."""
+    rng = random.Random(6)
+    phrase = fresh(rng, 6)
+    history = [(i, f"{phrase} {fresh(rng, 6)}") for i in range(20000)]
+    batch = [(i, history[i][1].rsplit(" ", 1)[0] + " " + fresh(rng, 1) if i % 50 == 0 else f"{phrase} {fresh(rng, 6)}") for i in range(2000)]
+    index = History(spark, per_bucket=1 << 12)
+    index.add(spark.createDataFrame(history, "id long, text string"))
+    assert max(n for _, n in index.buckets["keys"]) >= 32
+    got = spark.read.parquet(index.probe_and_add(spark.createDataFrame(batch, "id long, text string")))
+    assert {r.id for r in got.collect()} == {i for i in range(2000) if i % 50 == 0}
+
+
+def test_only_matching_buckets_are_read(spark):
+    """A small batch names few buckets, whatever the history's size."""
+    rng = random.Random(7)
+    index = History(spark, per_bucket=1 << 8)
+    index.add(spark.createDataFrame([(i, fresh(rng, 9)) for i in range(3000)], "id long, text string"))
+    classes = index._prepare(spark.createDataFrame([(1, fresh(rng, 9))], "id long, text string"))
+    asks = index._slots(classes).withColumnRenamed("c1", "p1")
+    parts = [index._read("keys", index.KEYS, wanted) for _, wanted in index._blocks(asks, 40)]
+    assert len(parts) == 1 and parts[0].count() < 0.05 * index._read("keys", index.KEYS, list(range(4096))).count()
+
+
+def test_accepted_only(spark):
+    """With accept="new" the rows that are known don't join the index; with "all" a class joins once."""
+    rng = random.Random(8)
+    first = fresh(rng, 10).split()
+    rows = lambda i, ws: spark.createDataFrame([(i, " ".join(ws))], "id long, text string")
+    near = first[:9] + ["x1"]
+    for accept, size in (("new", 1), ("all", 2)):
+        index = History(spark)
+        index.add(rows(1, first))
+        assert [r.id for r in spark.read.parquet(index.probe_and_add(rows(2, near), accept)).collect()] == [2]
+        assert [r.id for r in spark.read.parquet(index.probe_and_add(rows(3, near), accept)).collect()] == [3]
+        assert index._read("sets", index.SETS, list(range(4096))).count() == size
