@@ -111,7 +111,7 @@ def test_only_matching_buckets_are_read(spark):
     index.add(spark.createDataFrame([(i, fresh(rng, 9)) for i in range(3000)], "id long, text string"))
     classes = index._prepare(spark.createDataFrame([(1, fresh(rng, 9))], "id long, text string"))
     asks = index._slots(classes).withColumnRenamed("c1", "p1")
-    parts = [index._read("keys", index.KEYS, wanted) for _, wanted in index._blocks(asks, 40)]
+    parts = [index._read("keys", index.KEYS, wanted) for _, wanted in index._blocks(asks, index._count(asks), 40)]
     assert len(parts) == 1 and parts[0].count() < 0.05 * index._read("keys", index.KEYS, list(range(4096))).count()
 
 
