@@ -64,14 +64,12 @@ def unit_fraction(c: Column) -> Column:
     return F.conv(F.substring(F.md5(c), 1, 15), 16, 10).cast("double") / F.lit(float(16**15))
 
 
-def length_bucket(n: Column, bounds: tuple[int, ...] = (50, 100, 200, 500, 1000, 2000)) -> Column:
-    """Label of the range that a length falls into."""
-    out, low = None, 0
+def length_bucket(n: Column, bounds: tuple[int, ...] = (20, 50, 100, 200, 400, 800, 1600, 3200)) -> Column:
+    """Label of the range that a length falls into: below the first bound that exceeds it."""
+    out = None
     for b in bounds:
-        label = F.lit(f"{low}-{b - 1}")
-        out = F.when(n < b, label) if out is None else out.when(n < b, label)
-        low = b
-    return out.otherwise(F.lit(f"{low}+"))
+        out = F.when(n < b, F.lit(f"<{b}")) if out is None else out.when(n < b, F.lit(f"<{b}"))
+    return out.otherwise(F.lit(f">={bounds[-1]}"))
 
 
 def tokens(c: Column, least: int = 3, stop: list[str] | None = None, pattern: str = "[a-z0-9]+") -> Column:

@@ -6,13 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lathework.functions.scripts import blake_fraction
 from lathework.functions.text import unit_fraction
 
 
 def split_of(key: Column, test: float = 0.01, validation: float = 0.01) -> Column:
-    """test, validation or train, by the text of the key alone."""
-    u = unit_fraction(key)
-    return F.when(u < test, "test").when(u < test + validation, "validation").otherwise("train")
+    """test, val or train, by the MD5 of the key alone (a hash that SQL has too)."""
+    return _split(unit_fraction(key), test, validation)
+
+
+def split_by_blake2b(key: Column, test: float = 0.01, validation: float = 0.01) -> Column:
+    """test, val or train, by the 64-bit BLAKE2b of the key: the split of corpora that were cut with that hash."""
+    return _split(blake_fraction(key), test, validation)
+
+
+def _split(u: Column, test: float, validation: float) -> Column:
+    return F.when(u < test, "test").when(u < test + validation, "val").otherwise("train")
 
 
 def ranked(df: DataFrame, group: str, order: list[str], out: str, spread: int = 64) -> DataFrame:

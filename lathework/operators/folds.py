@@ -9,11 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lathework.session import fresh_path
+
 
 def smoothed(df: DataFrame, key: str, order: list[str], value: str, start: float = 0.0) -> DataFrame:
-    """(key, n, smoothed): avg = (avg + x) / 2 over the rows in order. The last 60 values decide a double, so only they are kept."""
+    """(key, n, smoothed): avg = (avg + x) / 2 over the rows in order. Only the last 1,100 values
+    are folded: each halves what came before, so earlier ones add nothing to a double."""
+    df = keep_last(df.where(F.col(value).isNotNull()).withColumn("_n", F.count(value).over(Window.partitionBy(key))), key, order, 1100)
     pairs = F.struct(*[F.col(o) for o in order], F.col(value).cast("double").alias("_v"))
-    got = df.where(F.col(value).isNotNull()).groupBy(key).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(pairs)).alias("s"))
+    got = df.groupBy(key).agg(F.first("_n").alias("n"), F.array_sort(F.collect_list(pairs)).alias("s"))
     v = F.aggregate("s", F.lit(start), lambda acc, x: (acc + x["_v"]) / 2)
     return got.select(key, "n", F.round(v, 9).alias("smoothed"))
 
@@ -53,36 +57,34 @@ def elo(df: DataFrame, key: str, order: list[str], won: str, opponent: str, k: f
 def accepted_while_rising(df: DataFrame, batch: str, score: str, base: float = 0.55, step: float = 0.015, per: int = 10_000, top: float = 0.88) -> DataFrame:
     """(batch, threshold, accepted): the mark of a batch depends on how many rows earlier batches had accepted.
 
-    Scores are reduced to a histogram of 1,000 bins per batch before the recursion, which then runs over
-    batches x bins numbers, whatever the number of rows.
+    Batches are taken in order, each with one aggregate over its own rows, which are written once by batch. Rows without a
+    batch or score are left out; a batch with none has no row.
     """
-    bins = df.where(F.col(score).isNotNull()).groupBy(F.col(batch).alias("batch"), F.floor(F.col(score) * 1000).cast("int").alias("bin")).agg(F.count("*").alias("n"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        total, out = 0, []
-        for b, part in pdf.sort_values(["batch", "bin"]).groupby("batch", sort=True):
-            mark = min(top, base + step * total / per)
-            n = int(part.loc[part["bin"] >= int(-(-mark * 1000 // 1)), "n"].sum())
-            out.append((b, round(mark, 9), n))
-            total += n
-        return pd.DataFrame(out, columns=["batch", "threshold", "accepted"])
-
-    kind = dict(df.dtypes)[batch]
-    return bins.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(lambda p: run(p), f"batch {kind}, threshold double, accepted long")
-
-
-def adaptive_level(df: DataFrame, key: str, order: list[str], passed: str, window: int = 6, low: float = 0.5, high: float = 0.8) -> DataFrame:
-    """(key, level, changes): the level rises when the pass rate of the last ``window`` tasks exceeds ``high``, falls below
-    ``low``, and the window starts anew with each change."""
+    rows = df.select(F.col(batch).alias("batch"), F.col(score).cast("double").alias("score")).where("batch is not null and score is not null and not isnan(score)")
+    kind, path = dict(rows.dtypes)["batch"], fresh_path(df.sparkSession, "scores")
+    names = rows.groupBy("batch").count().select("batch", F.row_number().over(Window.orderBy("batch")).alias("_i"))
+    rows.join(F.broadcast(names), "batch").repartition("_i").write.partitionBy("_i").parquet(path)
+    written, total, out = df.sparkSession.read.schema(f"batch {kind}, score double, _i int").parquet(path), 0, []
+    for r in names.orderBy("_i").collect():  # one row per batch
+        mark = min(top, base + step * total / per)
+        n = written.where((F.col("_i") == r["_i"]) & (F.col("score") >= mark)).count()
+        out.append((r.batch, round(mark, 9), n))
+        total += n
+    return df.sparkSession.createDataFrame(out, f"batch {kind}, threshold double, accepted long")
+
+
+def adaptive_level(df: DataFrame, key: str, order: list[str], passed: str, window: int = 6, low: float = 0.5, high: float = 0.8, bottom: int = 1, top: int = 8, start: int = 2) -> DataFrame:
+    """(key, level, changes): the level rises (up to ``top``) when the pass rate of the last ``window`` tasks exceeds ``high``, falls (down to
+    ``bottom``) below ``low``, and the window starts anew with each change."""
     ys = F.transform(F.array_sort(F.collect_list(F.struct(*[F.col(o) for o in order], F.col(passed).cast("int").alias("_y")))), lambda x: x["_y"])
     got = df.groupBy(key).agg(ys.alias("ys"))
-    init = F.struct(F.lit(1).alias("level"), F.lit(0).alias("changes"), F.array().cast("array<int>").alias("w"))
+    init = F.struct(F.lit(start).alias("level"), F.lit(0).alias("changes"), F.array().cast("array<int>").alias("w"))
 
     def step(s: Column, y: Column) -> Column:
         w = F.concat(s["w"], F.array(y))
         full = F.size(w) >= window
         rate = F.aggregate(w, F.lit(0.0), lambda a, x: a + x) / F.size(w)
-        up, down = full & (rate > high), full & (rate < low) & (s["level"] > 1)
+        up, down = full & (rate > high) & (s["level"] < top), full & (rate < low) & (s["level"] > bottom)
         level = s["level"] + up.cast("int") - down.cast("int")
         kept = F.when(up | down, F.array().cast("array<int>")).when(full, F.slice(w, 2, window)).otherwise(w)
         return F.struct(level.alias("level"), (s["changes"] + (up | down).cast("int")).alias("changes"), kept.alias("w"))
@@ -97,3 +99,12 @@ def odometer(n: Column, sizes: list[int]) -> list[Column]:
         out.append(F.pmod(F.floor(n / base), F.lit(s)).cast("int"))
         base *= s
     return out[::-1]
+
+
+def trend(df: DataFrame, key: str, order: list[str], value: str, up: list[str], down: list[str], window: int = 5, least: int = 3) -> DataFrame:
+    """Adds ``trend`` over the last ``window`` rows: positive (or needs_support) where more than twice as many values are of ``up`` (``down``)
+    as of the other, else mixed; starting before the key has ``least`` rows."""
+    w = Window.partitionBy(key).orderBy(*order)
+    last = w.rowsBetween(-(window - 1), 0)
+    pos, neg = (F.sum(F.coalesce(F.col(value).isin(x), F.lit(False)).cast("int")).over(last) for x in (up, down))
+    return df.withColumn("trend", F.when(F.row_number().over(w) < least, "starting").when(pos > 2 * neg, "positive").when(neg > 2 * pos, "needs_support").otherwise("mixed"))

@@ -42,14 +42,13 @@ def strongest(edges: DataFrame, k: int = 24) -> DataFrame:
     return edges.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def spread(edges: DataFrame, seeds: DataFrame, hops: int = 2, decay: float = 0.5, top: int = 10) -> DataFrame:
-    """(seed, node, activation): activation flows from a seed along edges, by their share of a node's weight, and fades with each hop."""
-    total = edges.groupBy("src").agg(F.sum("weight").alias("total"))
-    share = edges.join(total, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share"))
+def spread(edges: DataFrame, seeds: DataFrame, hops: int = 2, decay: float = 0.5, top: int = 12) -> DataFrame:
+    """(seed, node, activation, rank): activation flows from a seed along edges by the log of their weight over 6, and fades from hop to hop."""
+    gain = F.log1p("weight") / 6
     front = seeds.select(F.col("node").alias("seed"), F.col("node"), F.lit(1.0).alias("act"))
     out = None
-    for _ in range(hops):
-        front = front.join(share, front.node == share.src).groupBy("seed", F.col("dst").alias("node")).agg(F.sum(F.col("act") * F.col("share") * decay).alias("act"))
+    for i in range(hops):
+        front = front.join(edges, front.node == edges.src).groupBy("seed", F.col("dst").alias("node")).agg(F.sum(F.col("act") * gain * (decay if i else 1.0)).alias("act"))
         out = front if out is None else out.union(front)
     got = out.where("node <> seed").groupBy("seed", "node").agg(F.round(F.sum("act"), 6).alias("activation"))
     return got.withColumn("rank", F.row_number().over(Window.partitionBy("seed").orderBy(F.desc("activation"), "node"))).where(F.col("rank") <= top)

@@ -22,7 +22,7 @@ def episodes(df: DataFrame, question: str, answer: str, score: Column, verified:
 def recall(memory: DataFrame, query: str, k: int = 6, least: float = 0.28) -> DataFrame:
     """The episodes that rank best for a query: score, verification, use, and shared words."""
     words = tokens(F.lit(query))
-    rank = 0.5 * F.col("score") + 0.25 * F.col("verified").cast("int") + 0.15 * F.least(F.lit(1.0), F.col("uses") / 5) + 0.1 * jaccard(tokens(F.concat_ws(" ", "question", "answer")), words)
+    rank = 0.5 * F.col("score") + 0.25 * F.col("verified").cast("int") + 0.15 * F.least(F.lit(1.0), F.col("uses") / 5) + 0.1 * jaccard(F.slice(F.array_distinct(tokens(F.col("question"))), 1, 80), F.slice(words, 1, 80))
     return memory.withColumn("rank", F.round(rank, 6)).where(F.col("rank") > least).orderBy(F.desc("rank"), "key").limit(k)
 
 

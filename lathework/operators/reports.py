@@ -96,3 +96,28 @@ def with_moving_mean(df: DataFrame, group: str, order: list[str], value: str, ro
     """Adds ``moving_mean`` over the last ``rows`` rows of the group."""
     w = Window.partitionBy(group).orderBy(*order).rowsBetween(-(rows - 1), 0)
     return df.withColumn("moving_mean", F.round(F.avg(value).over(w), 6))
+
+
+def shortest_passing(df: DataFrame, key: str, row: str, score: str, length: str, least: float) -> DataFrame:
+    """(key, best, worst): of the rows that reach ``least`` the shortest (the better score of equal ones), and of all the
+    one with the lowest score (the longest of equal ones); null where none passes, and no worst where it is the best."""
+    ok = F.col(score) >= least
+    best = F.min_by(F.when(ok, F.col(row)), F.when(ok, F.struct(F.col(length), -F.col(score), F.col(row))))
+    worst = F.min_by(row, F.struct(F.col(score), -F.col(length), F.col(row)))
+    got = df.where(F.col(score).isNotNull()).groupBy(key).agg(best.alias("best"), worst.alias("worst"))
+    return got.withColumn("worst", F.when(F.col("worst") != F.coalesce("best", F.lit(-1)), F.col("worst")))
+
+
+def tree_stats(df: DataFrame, *levels: str) -> DataFrame:
+    """One row: how many distinct paths a tree of levels has down to each."""
+    paths = [[F.col(x) for x in levels[: i + 1]] for i in range(len(levels))]
+    return df.agg(*[F.count_distinct(*p).alias(f"n_{x}") for p, x in zip(paths, levels)])
+
+
+def status(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """One row: rows and newest time of each table, as (name: (table, time column))."""
+    out = None
+    for name, (df, at) in tables.items():
+        one = df.agg(F.count("*").alias(f"{name}_rows"), F.max(at).alias(f"{name}_last"))
+        out = one if out is None else out.join(F.broadcast(one))  # one row each
+    return out

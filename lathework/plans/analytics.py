@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lathework.functions import text as X
 from lathework.functions import vectors as V
-from lathework.operators import folds, graph, memory, reports, retrieval, routing, similarity, sync, vector_index
+from lathework.operators import folds, graph, memory, reports, retrieval, routing, similarity, sync, vector_index, verification
 from lathework.plans.corpus import ASCII, SPACE, STRIP, hot, lessons
 from lathework.session import fresh_path, materialise
 from lathework.sources import files, registry
@@ -35,11 +35,8 @@ select count(*) "rows", count(*) filter (where q = 0 or a = 0) empty_rows, count
 
 
 def _bucket(c):
-    bounds, low, out = (50, 100, 200, 500, 1000, 2000), 0, "case"
-    for b in bounds:
-        out += f" when length(coalesce({c}, '')) < {b} then '{low}-{b - 1}'"
-        low = b
-    return out + f" else '{low}+' end"
+    n = f"length(coalesce({c}, ''))"
+    return f"case when {n} < 20 then '<20' when {n} < 50 then '<50' when {n} < 100 then '<100' when {n} < 200 then '<200' when {n} < 400 then '<400' when {n} < 800 then '<800' when {n} < 1600 then '<1600' when {n} < 3200 then '<3200' else '>=3200' end"
 
 
 def _bm25(s, d):
@@ -131,17 +128,16 @@ select src, dst, weight, "rank"::INT "rank" from (select *, row_number() over (p
 def _spread(s, d):
     edges = graph.both_ways(_edges(s, d))
     seeds = graph.term_counts(lessons(s, d), toks("question", 6), 20).select(F.col("term").alias("node"))
-    return graph.spread(edges, seeds, 2, 0.5, 10)
+    return graph.spread(edges, seeds, 2, 0.5, 12)
 
 
 SPREAD_SQL = f"""
-with e as ({EDGES_SQL}), w as (select a src, b dst, weight from e union all select b, a, weight from e), tot as (select src, sum(weight) total from w group by src),
-sh as (select src, dst, weight / total share from w join tot using (src)),
+with e as ({EDGES_SQL}), w as (select a src, b dst, weight from e union all select b, a, weight from e),
 seeds as (select term node from (select term, count(*) n from (select unnest({TOKENS.format('question', 6)}) term from daily_lessons) group by term) order by n desc, term limit 20),
-h1 as (select seeds.node seed, dst node, sum(share * 0.5::DOUBLE) act from seeds join sh on sh.src = seeds.node group by all),
-h2 as (select seed, dst node, sum(act * share * 0.5::DOUBLE) act from h1 join sh on sh.src = h1.node group by all),
+h1 as (select seeds.node seed, dst node, sum(ln(1 + weight) / 6.0::DOUBLE) act from seeds join w on w.src = seeds.node group by all),
+h2 as (select seed, dst node, sum(act * 0.5::DOUBLE * ln(1 + weight) / 6.0::DOUBLE) act from h1 join w on w.src = h1.node group by all),
 g as (select seed, node, round(sum(act), 6) activation from (select * from h1 union all select * from h2) where node <> seed group by all)
-select seed, node, activation, "rank"::INT "rank" from (select *, row_number() over (partition by seed order by activation desc, node) "rank" from g) where "rank" <= 10"""
+select seed, node, activation, "rank"::INT "rank" from (select *, row_number() over (partition by seed order by activation desc, node) "rank" from g) where "rank" <= 12"""
 
 
 def _keywords(s, d):
@@ -187,7 +183,7 @@ def _recall(s, d):
 
 
 RECALL_SQL = EPISODES_CTE + f""",
-t as (select key, uses, verified, score, list_distinct({TOKENS.format("f.question || ' ' || f.answer", 3)}) a, ['why', 'would', 'the', 'careful', 'vector', 'weaken', 'narrow', 'theorem'] b from m)
+t as (select key, uses, verified, score, list_distinct({TOKENS.format("f.question", 3)})[1:80] a, ['why', 'would', 'the', 'careful', 'vector', 'weaken', 'narrow', 'theorem'] b from m)
 select key, round(0.5::DOUBLE * score + 0.25::DOUBLE * verified::INT + 0.15::DOUBLE * least(1.0, uses / 5) + 0.1::DOUBLE * (len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b)))), 6) "rank" from t order by 2 desc, key limit 6"""
 
 
@@ -246,7 +242,97 @@ def _accepted(s, d):
     return routing.accepted_answers(f, hot(s, d), "accepted", "knowledge_id", "answer").select("feedback_id", F.length("accepted_text").alias("n"))
 
 
+RISING_SQL = """
+with recursive s as (select lesson_day, dense_rank() over (order by lesson_day) i, (lesson_id * 7919 % 10007) / 10007.0::DOUBLE score from daily_lessons where lesson_day is not null),
+r(i, mark, n, total) as (select 0::BIGINT, 0.0::DOUBLE, 0::BIGINT, 0::BIGINT union all
+  select r.i + 1, any_value(least(0.88::DOUBLE, 0.55::DOUBLE + 0.015::DOUBLE * r.total / 100)), count(*) filter (where s.score >= least(0.88::DOUBLE, 0.55::DOUBLE + 0.015::DOUBLE * r.total / 100)),
+    any_value(r.total) + count(*) filter (where s.score >= least(0.88::DOUBLE, 0.55::DOUBLE + 0.015::DOUBLE * r.total / 100)) from r join s on s.i = r.i + 1 group by r.i)
+select d.lesson_day batch, round(r.mark, 9) threshold, r.n accepted from r join (select distinct lesson_day, i from s) d using (i)"""
+_EVENTS = "select user_id u, row_number() over (partition by user_id order by ts, event_id) i, event_type, value from events"
+ELO_SQL = f"""
+with recursive e as ({_EVENTS}), r(u, i, x) as (select distinct user_id, 0::BIGINT, 1000.0::DOUBLE from events union all
+  select r.u, r.i + 1, x + 32 * ((event_type = 'purchase')::INT - 1 / (1 + pow(10.0::DOUBLE, (1000 + coalesce(value, 0.0) - x) / 400))) from r join e on e.u is not distinct from r.u and e.i = r.i + 1)
+select u user_id, max(i) games, round(arg_max(x, i), 4) rating from r group by u"""
+ADAPTIVE_SQL = f"""
+with recursive e as ({_EVENTS}), r(u, i, lv, ch, w) as (select distinct user_id, 0::BIGINT, 2, 0, []::INT[] from events union all
+  select u, i, lv + up - down, ch + up + down, case when up + down > 0 then []::INT[] when len(v) >= 6 then v[2:] else v end from (
+    select *, (len(v) >= 6 and list_avg(v) > 0.8 and lv < 8)::INT up, (len(v) >= 6 and list_avg(v) < 0.5 and lv > 1)::INT down from (
+      select r.u, r.i + 1 i, lv, ch, list_append(w, (event_type <> 'error')::INT) v from r join e on e.u is not distinct from r.u and e.i = r.i + 1)))
+select u user_id, arg_max(lv, i)::INT "level", arg_max(ch, i)::INT changes from r group by u"""
 ORDERED = "(partition by user_id order by ts, event_id"
+TREND_SQL = f"""select event_id, case when row_number() over {ORDERED}) < 3 then 'starting' when sum((event_type in ('purchase', 'click'))::INT) over w > 2 * sum((event_type = 'error')::INT) over w then 'positive'
+  when sum((event_type = 'error')::INT) over w > 2 * sum((event_type in ('purchase', 'click'))::INT) over w then 'needs_support' else 'mixed' end trend from events window w as {ORDERED} rows between 4 preceding and current row)"""
+
+
+def _passing(s, d):
+    rows = lessons(s, d).select("domain", "lesson_id", F.round(F.pmod(F.col("lesson_id") * 7919, F.lit(101)) / 100.0, 2).alias("score"), F.length(F.coalesce("answer", F.lit(""))).alias("n"))
+    return reports.shortest_passing(rows, "domain", "lesson_id", "score", "n", 0.7)
+
+
+PASSING_SQL = """
+with r as (select domain, lesson_id, round((lesson_id * 7919 % 101) / 100.0::DOUBLE, 2) score, length(coalesce(answer, '')) n from daily_lessons),
+b as (select domain, arg_min(lesson_id, {'a': n, 'b': -score, 'c': lesson_id}) filter (where score >= 0.7) best, arg_min(lesson_id, {'a': score, 'b': -n, 'c': lesson_id}) worst from r group by 1)
+select domain, best, case when worst is distinct from best then worst end worst from b"""
+
+NOW = "timestamp '2026-08-20 00:00:00'"
+_TIER = "['A', 'B', 'C', null, 'b'][1 + (lesson_id % 5)::INT]"
+_HOSTS = "['https://www.nasa.gov/x', 'http://news.example.org/a', 'https://b.example.net:8080/q', 'https://user@science.nasa.gov', 'ftp://old', 'HTTPS://C.example.com/?q', 'https://d.example.com'][1 + (lesson_id % 7)::INT]"
+
+
+def _observed(s, d):
+    """Lessons read as observations: tier and address by the id's remainders."""
+    pick = lambda values, c: F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod("lesson_id", F.lit(c)) + 1).cast("int"))
+    url = pick(["https://www.nasa.gov/x", "http://news.example.org/a", "https://b.example.net:8080/q", "https://user@science.nasa.gov", "ftp://old", "HTTPS://C.example.com/?q", "https://d.example.com"], 7)
+    return lessons(s, d).select(
+        F.col("lesson_id").alias("id"), F.col("question").alias("title"), F.col("domain").alias("summary"), url.alias("url"), F.lit(None).cast("string").alias("domain"), "source", F.lit("Live Feed").alias("source_type"),
+        pick(["A", "B", "C", None, "b"], 5).alias("trust_tier"), F.col("received_at").alias("observed_at"),
+    )
+
+
+def _verdicts(s, d):
+    return verification.verdicts(_observed(s, d), F.expr(NOW.replace("timestamp", "timestamp_ntz")).cast("timestamp"))
+
+
+def _verified(s, d):
+    return _verdicts(s, d).withColumn("score", F.round("score", 4))
+
+
+VERIFIED_CTE = rf"""
+with o as (select lesson_id id, coalesce(question, '') title, coalesce("domain", '') summary, {_HOSTS} url, upper(coalesce({_TIER}, 'C')) tier, lower(trim(coalesce(source, ''))) source, coalesce(received_at, {NOW}) seen from daily_lessons),
+h as (select *, ['nasa.gov', 'news.example.org', 'b.example.net', 'science.nasa.gov', 'old', 'c.example.com', 'd.example.com'][1 + (id % 7)::INT] host, list_distinct(list_transform(list_filter(regexp_extract_all(lower(title || ' ' || summary), '[a-z0-9][a-z0-9+.#_-]{{2,}}'),
+  lambda t: not list_contains(string_split('a an the of to in on at for and or but is are was were be been being this that these those it its as by with from into over under than then such about new latest live update report says said after before during near around today what how why when where who which can could should would will may might do does have has had not no yes', ' '), t)),
+  lambda t: regexp_replace(t, '^[._-]+|[._-]+$', '', 'g'))) k from o),
+f as (select *, tier = 'A' and (host in ('nasa.gov', 'science.nasa.gov') or source in ('usgs', 'nasa eonet', 'noaa', 'isro', 'esa', 'who', 'cdc')) official,
+  case when length(trim(title)) < 5 then 'title_too_short' when not regexp_matches(url, '^https?://') or host = '' then 'invalid_source_url'
+    when regexp_matches(lower(title || ' ' || summary), 'ignore previous instructions|ignore all instructions|system prompt|developer message|reveal your prompt|bypass safety|jailbreak|<script|javascript:|prompt injection|do not trust previous') then 'prompt_injection_pattern'
+    when seen > {NOW} + interval 24 hour then 'future_timestamp' end reject from h),
+p as (select a.id, count(*) n_peers, count(distinct case when b.host <> '' and b.host <> a.host then b.host end) others, bool_or(b.official) authority, count(distinct case when b.tier = 'B' and b.host <> '' then b.host end) news
+  from f a join f b on a.id <> b.id and abs(floor(epoch(a.seen)) - floor(epoch(b.seen))) <= 345600 where len(a.k) > 0 and len(b.k) > 0 and len(list_intersect(a.k, b.k)) / (len(a.k) + len(b.k) - len(list_intersect(a.k, b.k))) >= 0.42 group by 1),
+g as (select f.*, coalesce(n_peers, 0) n_peers, coalesce(others, 0) others, coalesce(authority, false) authority, coalesce(news, 0) news from f left join p using (id)),
+v as (select *, case when reject is not null then 'rejected' when official then 'verified' when tier = 'B' then if(others >= 1, 'verified', 'pending') when authority or news >= 2 then 'verified' else 'pending' end status,
+  case when reject is not null then 0 when official then 0.98 when tier = 'B' then if(others >= 1, least(0.92, 0.78 + 0.04 * others), 0.45) when authority then 0.72 when news >= 2 then 0.68 else 0.25 end::DOUBLE score,
+  case when reject is not null then reject when official then 'official_authority_feed' when tier = 'B' then if(others >= 1, 'independent_domain_corroboration', 'awaiting_independent_news_source')
+    when authority or news >= 2 then 'community_signal_corroborated' else 'community_signal_requires_corroboration' end reason from g)"""
+VERIFIED_SQL = VERIFIED_CTE + " select id, status, round(score, 4) score, reason, n_peers from v"
+
+
+def _promoted(s, d):
+    o = _observed(s, d)
+    known = o.join(_verdicts(s, d), "id")
+    got = verification.promoted(known, F.expr(NOW.replace("timestamp", "timestamp_ntz")).cast("timestamp"))
+    return got.select("id", F.md5("question").alias("question"), F.md5("answer").alias("answer"), "intent", "lang", "upvotes")
+
+
+_SQUEEZE = r"trim(regexp_replace({0}, '[\t-\r\x1c- \x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+', ' ', 'g'))"
+PROMOTED_SQL = VERIFIED_CTE + f""",
+c as (select v.id, v.url, v.score, v.reason, v.seen, substr({_SQUEEZE.format("coalesce(l.source, '')")}, 1, 80) source, substr({_SQUEEZE.format("v.title")}, 1, 500) title, substr({_SQUEEZE.format("v.summary")}, 1, 5000) summary
+  from v join daily_lessons l on l.lesson_id = v.id where v.status = 'verified' and v.score >= 0.70 and v.seen >= {NOW} - interval 30 day)
+select id, md5(substr('What verified live update did ' || source || ' report about "' || title || '"?', 1, 2000)) question,
+  md5(substr('As of ' || strftime(seen, '%Y-%m-%d %H:%M') || ' UTC, ' || source || ' reported: ' || title || '. ' || if(summary <> '' and lower(summary) <> lower(title), summary, title) || chr(10) || chr(10) || 'Source: ' || url || chr(10) || 'Verification: ' || reason
+    || ' (score ' || printf('%.2f', score) || ').' || chr(10) || 'This is a time-sensitive observation; consult the cited source for later changes.', 1, 12000)) answer,
+  'live_live_feed' intent, if(regexp_matches(title || ' ' || summary, '[\\x{{0900}}-\\x{{097F}}]'), 'hi', 'en') lang, greatest(7, least(10, round_even(score * 10, 0)::INT))::INT upvotes
+from c where source <> '' and title <> '' and (url like 'https://%' or url like 'http://%')"""
+
 QUERIES = {
     "audit_summary": (_audit, AUDIT_SQL),
     "audit_top_intents": (lambda s, d: reports.counts(hot(s, d), F.col("intent"), "intent", 40), "select intent, count(*) n from hot_vectors group by 1 order by n desc, intent nulls last limit 40"),
@@ -289,9 +375,15 @@ QUERIES = {
     ),
     "keep_last": (lambda s, d: folds.keep_last(events(s, d), "user_id", ["ts", "event_id"], 5).select("event_id"), "select event_id from (select event_id, row_number() over (partition by user_id order by ts desc, event_id desc) r from events) where r <= 5"),
     "collapse_runs": (lambda s, d: folds.collapse_runs(events(s, d), "user_id", ["ts", "event_id"], "event_type").select("event_id"), f"select event_id from (select event_id, event_type, lag(event_type) over {ORDERED}) p, row_number() over {ORDERED}) r from events) where r = 1 or event_type is distinct from p"),
-    "elo_ratings": (lambda s, d: folds.elo(events(s, d).withColumns({"won": F.col("event_type") == "purchase", "opp": 1000 + F.coalesce("value", F.lit(0.0))}), "user_id", ["ts", "event_id"], "won", "opp"), None),
-    "rising_acceptance": (lambda s, d: folds.accepted_while_rising(lessons(s, d).withColumn("score", F.pmod(F.col("lesson_id") * 37, F.lit(1000)) / 1000.0), "lesson_day", "score", per=100), None),
-    "adaptive_level": (lambda s, d: folds.adaptive_level(events(s, d).withColumn("ok", F.col("event_type") != "error"), "user_id", ["ts", "event_id"], "ok"), None),
+    "elo_ratings": (lambda s, d: folds.elo(events(s, d).withColumns({"won": F.col("event_type") == "purchase", "opp": 1000 + F.coalesce("value", F.lit(0.0))}), "user_id", ["ts", "event_id"], "won", "opp"), ELO_SQL),
+    "rising_acceptance": (lambda s, d: folds.accepted_while_rising(lessons(s, d).withColumn("score", F.pmod(F.col("lesson_id") * 7919, F.lit(10007)) / 10007.0), "lesson_day", "score", per=100), RISING_SQL),
+    "adaptive_level": (lambda s, d: folds.adaptive_level(events(s, d).withColumn("ok", F.col("event_type") != "error"), "user_id", ["ts", "event_id"], "ok"), ADAPTIVE_SQL),
+    "session_trend": (lambda s, d: folds.trend(events(s, d), "user_id", ["ts", "event_id"], "event_type", ["purchase", "click"], ["error"]).select("event_id", "trend"), TREND_SQL),
+    "shortest_passing": (_passing, PASSING_SQL),
+    "tree_stats": (lambda s, d: reports.tree_stats(hot(s, d).select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("intent", "lang", "source")]), "intent", "lang", "source"), "select count(distinct coalesce(intent, '')) n_intent, count(distinct (coalesce(intent, ''), coalesce(lang, ''))) n_lang, count(distinct (coalesce(intent, ''), coalesce(lang, ''), coalesce(source, ''))) n_source from hot_vectors"),
+    "status_report": (lambda s, d: reports.status({"hot": (hot(s, d), "created_at"), "lessons": (lessons(s, d), "received_at")}), "select (select count(*) from hot_vectors) hot_rows, (select max(created_at) from hot_vectors) hot_last, (select count(*) from daily_lessons) lessons_rows, (select max(received_at) from daily_lessons) lessons_last"),
+    "verification": (_verified, VERIFIED_SQL),
+    "promotion": (_promoted, PROMOTED_SQL),
     "bm25_topk": (_bm25, BM25_SQL),
     "keyword_overlap_topk": (_overlap, OVERLAP_SQL),
     "vector_topk_cosine": _topk("cosine", -1),

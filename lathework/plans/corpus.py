@@ -30,9 +30,25 @@ STRIP = "regexp_replace({0}, '^[\\t-\\r\\x1c- \\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{
 FRACTION = "(('0x' || substr(md5({0}), 1, 15))::BIGINT)::DOUBLE / 1152921504606846976.0"
 
 
-def sql_rules(c: str, rules, default: str = "general") -> str:
-    whens = " ".join(f"when regexp_matches(lower(coalesce({c}, '')), '{p}') then '{n}'" for n, p in rules)
-    return f"case {whens} else '{default}' end"
+# Literals of the rules' meaning, not taken from the operators' constants.
+DOMAIN_A = """case when regexp_matches(lower(coalesce(intent, '')), 'cod|program|python|algorithm|competitive|devops') then 'coding'
+  when regexp_matches(lower(coalesce(intent, '')), 'nurs|med|clinic|disease|anatom|physio|pharma|patho|health|surg|biolog|nutri') then 'medical'
+  when regexp_matches(lower(coalesce(intent, '')), 'physic|chem|math|reason|logic|calcul|science') then 'stem'
+  when regexp_matches(lower(coalesce(intent, '')), 'veda|gita|bible|quran|holy|itihasa|mahabharat|ramayan|upanishad|verse|distilled') then 'holy'
+  when regexp_matches(lower(coalesce(intent, '')), 'agent|tool|plan') then 'agentic' else 'general' end"""
+DOMAIN_B = """case when regexp_matches(lower(coalesce(intent, '')), 'nurs|med|clinic|disease|anatom|physio|pharma|patho|health|surg|nutri') then 'medical'
+  when regexp_matches(lower(coalesce(intent, '')), 'veda|gita|bible|quran|holy|itihasa|mahabharat|ramayan|upanishad|verse|scripture') then 'holy'
+  when regexp_matches(lower(coalesce(intent, '')), 'cod|program|python|algorithm|competitive|devops') then 'coding'
+  when regexp_matches(lower(coalesce(intent, '')), 'physic|chem|math|reason|logic|calcul|science') then 'stem'
+  when regexp_matches(lower(coalesce(intent, '')), 'agent|tool|plan') then 'agentic' else 'general' end"""
+TOPIC = """case when regexp_matches(lower(coalesce(question, '')), 'space|nasa|isro|planet|star|orbit|moon|mars') then 'space'
+  when regexp_matches(lower(coalesce(question, '')), 'ai|neural|robot|autonomous|drone') then 'tech'
+  when regexp_matches(lower(coalesce(question, '')), 'india|isro|sanskrit|vedic|bharat') then 'india'
+  when regexp_matches(lower(coalesce(question, '')), 'math|algebra|calculus|equation') then 'math'
+  when regexp_matches(lower(coalesce(question, '')), 'medical|medicine|vaccine|brain') then 'medical'
+  when regexp_matches(lower(coalesce(question, '')), 'military|defense|missile|warfare') then 'defense'
+  when regexp_matches(lower(coalesce(question, '')), 'car|vehicle|transport|taxi') then 'automotive'
+  when regexp_matches(lower(coalesce(question, '')), 'psychology|behavior|emotion|cognitive') then 'psychology' else 'science' end"""
 
 
 def hot(s, d):
@@ -56,12 +72,12 @@ def prep_corpus(s, d):
 
 
 PREP_SQL = f"""
-with r as (select knowledge_id id, {ASCII.format('question')} k, {sql_rules('intent', Q.DOMAINS_A)} domain,
+with r as (select knowledge_id id, {ASCII.format('question')} k, {DOMAIN_A} domain,
     length({STRIP.format("coalesce(question, '')")}) lq, length({STRIP.format("coalesce(answer, '')")}) la from hot_vectors),
 b as (select distinct {ASCII.format('question')} k from benchmark),
 t as (select *, case when lq < 8 or la < 20 then 'short' when k = '' then 'empty' when k in (select k from b where k <> '') then 'contaminated' end why from r),
 u as (select *, case when why is null and row_number() over (partition by k, why is null order by id) > 1 then 'duplicate' else why end reason from t),
-v as (select *, case when {FRACTION.format('k')} < 0.05 then 'test' when {FRACTION.format('k')} < 0.1 then 'validation' else 'train' end split from u where reason is null),
+v as (select *, case when {FRACTION.format('k')} < 0.05 then 'test' when {FRACTION.format('k')} < 0.1 then 'val' else 'train' end split from u where reason is null),
 w as (select *, row_number() over (partition by domain order by id) n, case domain when 'medical' then 3 when 'holy' then 2 when 'agentic' then 2 else 1 end times from v where split = 'train'),
 x as (select split, domain, greatest(0, least(times, 3000 - (n - 1) * times)) copies from w union all select split, domain, 1 from v where split <> 'train')
 select 'dropped' kind, reason "name", count(*)::BIGINT n from u where reason is not null group by reason
@@ -179,15 +195,14 @@ def quality(s, d):
     return hot(s, d).select("knowledge_id", q.alias("quality"), F.round(Q.adjusted_quality(Q_(), A_(), q), 4).alias("adjusted"))
 
 
-QUALITY_SQL = r"""
-with r as (select knowledge_id, trim(coalesce(question, ''), ' ') q, trim(coalesce(answer, ''), ' ') a, lower(coalesce(answer, '')) low from hot_vectors),
-w as (select *, list_filter(string_split(lower(a), ' '), lambda x: x <> '') ws from r),
-v as (select *, case when len(ws) > 0 then len(list_distinct(ws)) / len(ws) else 0 end variety, length(a) n from w),
-z as (select *, case when q = '' or a = '' then 0.0 else greatest(0.0::DOUBLE, least(1.0::DOUBLE, 0.3::DOUBLE + case when n >= 400 then 0.25::DOUBLE when n >= 150 then 0.18 when n >= 60 then 0.08 else 0 end
-  + case when variety >= 0.6 then 0.2::DOUBLE when variety >= 0.4 then 0.1 else 0 end + case when regexp_matches(a, '[.!?]( |$)') then 0.1::DOUBLE else 0 end
-  + case when regexp_matches(a, '\n[-*0-9]|```|:') then 0.05::DOUBLE else 0 end + case when ends_with(q, '?') then 0.1::DOUBLE else 0 end - case when lower(q) = lower(a) then 0.3::DOUBLE else 0 end)) end s from v)
-select knowledge_id, round(s::DOUBLE, 4) quality, round(greatest(0::DOUBLE, least(1::DOUBLE, round(s::DOUBLE, 4) + case when low like '%```%' then 0.05::DOUBLE else 0 end + case when length(low) between 200 and 4000 then 0.05::DOUBLE when length(low) < 60 then -0.1::DOUBLE else 0 end
-  - case when regexp_matches(low, 'i cannot|i can''t|as an ai|i''m sorry') then 0.3::DOUBLE else 0 end)), 4) adjusted from z
+QUALITY_SQL = rf"""
+with r as (select knowledge_id, {STRIP.format("coalesce(question, '')")} q, {STRIP.format("coalesce(answer, '')")} a, coalesce(answer, '') raw from hot_vectors),
+w as (select *, lower(a) low, length(a) n, length(raw) m, list_filter(regexp_split_to_array(lower(a), '[\t-\r\x1c- \x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+'), lambda x: x <> '') ws from r),
+z as (select *, case when q = '' or a = '' then 0.0 else greatest(0.0::DOUBLE, least(1.0::DOUBLE, 0.40::DOUBLE + if(length(q) > 15, 0.08::DOUBLE, 0) + if(n > 120, 0.15::DOUBLE, 0) + if(n > 400, 0.10::DOUBLE, 0) + if(n > 900, 0.05::DOUBLE, 0)
+  + if(regexp_matches(a, '\p{{Nd}}'), 0.04::DOUBLE, 0) + if(regexp_matches(low, 'because|therefore|thus|hence|step|example|reason|consider|however|derive|proof|so that'), 0.10::DOUBLE, 0)
+  - if(regexp_matches(low, '^(i don''t|i cannot|sorry|as an ai|i''m not able|unknown)'), 0.45::DOUBLE, 0) - if(len(list_distinct(ws)) / len(ws) < 0.40, 0.20::DOUBLE, 0))) end s from w)
+select knowledge_id, round(s::DOUBLE, 4) quality, round(greatest(0.05::DOUBLE, least(1::DOUBLE, round(s::DOUBLE, 4) + if(contains(raw, '```'), 0.12::DOUBLE, 0) + case when m >= 400 then 0.08::DOUBLE when m >= 180 then 0.04::DOUBLE else 0 end
+  - if(m < 60, 0.12::DOUBLE, 0) + if(ends_with(q, '?'), 0.02::DOUBLE, 0) - if(regexp_matches(lower(raw), 'as an ai|i cannot|i am sorry|i''m sorry|lorem ipsum'), 0.25::DOUBLE, 0))), 4) adjusted from z
 """
 
 
@@ -208,9 +223,40 @@ def graded(s, d):
     return b.select("id", "category", Q.objective_grade(F.col("reference"), F.col("answer_key")).alias("ok"))
 
 
-_PAD = "' ' || " + ASCII + " || ' '"
 GRADED_SQL = f"""select id, category, case when answer_key is not null then
-  len(list_filter(answer_key, lambda k: {ASCII.format('k')} <> '' and contains({_PAD.format('reference')}, {_PAD.format('k')}))) > 0 end ok from benchmark"""
+  len(list_filter(answer_key, lambda k: {ASCII.format('k')} <> '' and contains({ASCII.format('reference')}, {ASCII.format('k')}))) > 0 end ok from benchmark"""
+
+
+# Fixed cases: licence names and what becomes of them.
+LICENCES = [
+    ("MIT", "ok"), ("apache-2.0", "ok"), ("cc-by-4.0", "ok"), ("CC-BY-SA-4.0", "share_alike"), ("mpl-2.0", "share_alike"), ("EPL-1.0", "share_alike"), ("gpl-3.0", "block"), ("GPL-2.0-only", "block"), ("LGPL-2.1", "block"), ("agpl-3.0", "block"),
+    ("cc-by-nc-4.0", "block"), ("cc-by-nc-sa-4.0", "block"), ("Non-Commercial", "block"), ("proprietary", "block"), ("closed source", "block"), ("odc-by", "ok"), (" ", "unknown"), (None, "unknown"),
+]
+
+
+def licences(s, d):
+    names = s.createDataFrame([(i, n) for i, (n, _) in enumerate(LICENCES)], "i int, licence string")
+    return names.select("i", Q.licence_gate(F.col("licence")).alias("gate"))
+
+
+LICENCE_SQL = "select * from (values " + ", ".join(f"({i}, '{g}')" for i, (_, g) in enumerate(LICENCES)) + ") t(i, gate)"
+
+
+def problem_classes(s, d):
+    c = Q.problem_class(Q_(), A_().contains("assert "), F.col("intent"), ["reasoning", "math", "code"])
+    return hot(s, d).groupBy(c.alias("class")).agg(F.count("*").alias("n"))
+
+
+PROBLEM_SQL = """select case when contains(answer, 'assert ') then 'code' when regexp_matches(lower(coalesce(question, '')), 'def |function|code|python|java|c\\+\\+|implement|```|algorithm') then 'code'
+  when regexp_matches(lower(coalesce(question, '')), 'prove|integral|equation|compute|calculate|how many|probability|sum of|solve for|theorem') then 'math'
+  when intent in ('reasoning', 'math', 'code') then intent else 'other' end "class", count(*) n from hot_vectors group by 1"""
+
+
+def texty_docs(s, d):
+    return table(s, d, "documents").where(Q.texty(F.col("text"), 40, 20000)).select("doc_id")
+
+
+TEXTY_SQL = r"""select doc_id from documents where length(text) between 40 and 20000 and length(regexp_replace(substr(text, 1, 1000), '[^\p{L}\t-\r ]', '', 'g')) > 0.6 * least(1000, length(text))"""
 
 
 def moods(s, d):
@@ -264,7 +310,7 @@ def capped(s, d):
 
 
 CAP_SQL = f"""
-with r as (select knowledge_id, {sql_rules('intent', Q.DOMAINS_A)} domain from hot_vectors), w as (select *, row_number() over (partition by domain order by knowledge_id) n, case domain when 'medical' then 3 when 'holy' then 2 when 'agentic' then 2 else 1 end t from r),
+with r as (select knowledge_id, {DOMAIN_A} domain from hot_vectors), w as (select *, row_number() over (partition by domain order by knowledge_id) n, case domain when 'medical' then 3 when 'holy' then 2 when 'agentic' then 2 else 1 end t from r),
 c as (select *, greatest(0, least(t, 1000 - (n - 1) * t)) c from w) select domain, knowledge_id, unnest(range(1, c + 1))::INT "copy" from c where c > 0"""
 
 
@@ -274,7 +320,7 @@ def exempt(s, d):
 
 
 EXEMPT_SQL = f"""
-with r as (select knowledge_id, {sql_rules('intent', Q.DOMAINS_B)} domain from hot_vectors), w as (select *, row_number() over (partition by domain order by knowledge_id) n from r)
+with r as (select knowledge_id, {DOMAIN_B} domain from hot_vectors), w as (select *, row_number() over (partition by domain order by knowledge_id) n from r)
 select domain, knowledge_id from w where n <= 500 or domain in ('medical', 'holy') order by knowledge_id limit 2000"""
 
 QUERIES = {
@@ -303,13 +349,14 @@ QUERIES = {
     "moods": (moods, _mood_sql()),
     "plain_text": (plain, PLAIN_SQL),
     "row_tags": (tags, TAGS_SQL),
-    "domain_a": (lambda s, d: hot(s, d).groupBy(Q.by_pattern(F.col("intent"), Q.DOMAINS_A).alias("domain")).agg(F.count("*").alias("n")), f"select {sql_rules('intent', Q.DOMAINS_A)} domain, count(*) n from hot_vectors group by 1"),
-    "domain_b": (lambda s, d: hot(s, d).groupBy(Q.by_pattern(F.col("intent"), Q.DOMAINS_B).alias("domain")).agg(F.count("*").alias("n")), f"select {sql_rules('intent', Q.DOMAINS_B)} domain, count(*) n from hot_vectors group by 1"),
-    "topics": (lambda s, d: hot(s, d).groupBy(Q.by_pattern(Q_(), Q.TOPICS).alias("topic")).agg(F.count("*").alias("n")), f"select {sql_rules('question', Q.TOPICS)} topic, count(*) n from hot_vectors group by 1"),
-    "licence_gate": (
-        lambda s, d: hot(s, d).groupBy(Q.licence_gate(F.concat(F.lit("cc-by-"), F.regexp_replace("source", "daily.*", "nc"))).alias("gate")).agg(F.count("*").alias("n")),
-        f"with r as (select lower(trim(coalesce('cc-by-' || regexp_replace(source, 'daily.*', 'nc', 'g'), ''))) l from hot_vectors) select case when l = '' then 'unknown' when regexp_matches(l, '{Q.BLOCKED}') then 'block' when regexp_matches(l, '{Q.SHARE_ALIKE}') then 'share_alike' else 'ok' end gate, count(*) n from r group by 1",
-    ),
+    "domain_a": (lambda s, d: hot(s, d).groupBy(Q.by_pattern(F.col("intent"), Q.DOMAINS_A).alias("domain")).agg(F.count("*").alias("n")), f"select {DOMAIN_A} domain, count(*) n from hot_vectors group by 1"),
+    "domain_b": (lambda s, d: hot(s, d).groupBy(Q.by_pattern(F.col("intent"), Q.DOMAINS_B).alias("domain")).agg(F.count("*").alias("n")), f"select {DOMAIN_B} domain, count(*) n from hot_vectors group by 1"),
+    "topics": (lambda s, d: hot(s, d).groupBy(Q.by_pattern(Q_(), Q.TOPICS, "science").alias("topic")).agg(F.count("*").alias("n")), f"select {TOPIC} topic, count(*) n from hot_vectors group by 1"),
+    "licence_gate": (licences, LICENCE_SQL),
+    "problem_classes": (problem_classes, PROBLEM_SQL),
+    "texty_docs": (texty_docs, TEXTY_SQL),
+    "dedup_400_signs": _first(lambda: F.substring(X.space_key(Q_()), 1, 400), "substr(" + SPACE.format("question") + ", 1, 400)"),
+    "split_blake2b": (lambda s, d: hot(s, d).select("knowledge_id", B.split_by_blake2b(X.ascii_key(Q_())).alias("split")), None),
     "cap_upsample": (capped, CAP_SQL),
     "cap_priority_exempt": (exempt, EXEMPT_SQL),
     "hash_sample": (
@@ -318,6 +365,6 @@ QUERIES = {
     ),
     "split_assign": (
         lambda s, d: hot(s, d).select("knowledge_id", B.split_of(X.ascii_key(Q_()), 0.1, 0.1).alias("split")),
-        f"select knowledge_id, case when {FRACTION.format(ASCII.format('question'))} < 0.1 then 'test' when {FRACTION.format(ASCII.format('question'))} < 0.2 then 'validation' else 'train' end split from hot_vectors",
+        f"select knowledge_id, case when {FRACTION.format(ASCII.format('question'))} < 0.1 then 'test' when {FRACTION.format(ASCII.format('question'))} < 0.2 then 'val' else 'train' end split from hot_vectors",
     ),
 }

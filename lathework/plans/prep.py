@@ -15,12 +15,13 @@ from lathework.session import materialise
 REPEATS = {"medical": 3, "holy": 2, "agentic": 2}
 
 
-def tagged(rows: DataFrame, items: DataFrame, item_text: str, row_id: str = "knowledge_id", q: int = 8, a: int = 20, test: float = 0.05, validation: float = 0.05, unicode: bool = False) -> DataFrame:
+def tagged(rows: DataFrame, items: DataFrame, item_text: str, row_id: str = "knowledge_id", q: int = 8, a: int = 20, test: float = 0.05, validation: float = 0.05, unicode: bool = False, split=split_of) -> DataFrame:
     """Each row with ``key``, ``domain``, and ``reason`` (short, empty, contaminated, duplicate) or ``split``.
 
     The first reason that holds counts: a row that is short, empty or contaminated doesn't make a later one a duplicate.
     Of rows of one key the one with the smallest id stays; it is found by an aggregate, so a key that many rows
     share is reduced before the shuffle. With the ASCII key (default) a text of another script has an empty key.
+    ``split`` assigns splits by the key (``split_of``, ``split_by_blake2b``).
     """
     norm = unicode_key if unicode else ascii_key
     r = rows.withColumn("key", norm(F.col("question"))).withColumn("domain", by_pattern(F.col("intent"), DOMAINS_A))
@@ -29,7 +30,7 @@ def tagged(rows: DataFrame, items: DataFrame, item_text: str, row_id: str = "kno
     r = r.withColumn("reason", F.when((lq < q) | (la < a), "short").when(F.col("key") == "", "empty").when(F.col("leaked"), "contaminated")).drop("leaked")
     first = r.where("reason is null").groupBy("key").agg(F.min(row_id).alias("_first"))
     r = r.join(first, "key", "left").withColumn("reason", F.when(F.col("reason").isNull() & (F.col(row_id) != F.col("_first")), "duplicate").otherwise(F.col("reason"))).drop("_first")
-    return r.withColumn("split", F.when(F.col("reason").isNull(), split_of(F.col("key"), test, validation)))
+    return r.withColumn("split", F.when(F.col("reason").isNull(), split(F.col("key"), test, validation)))
 
 
 def tags(rows: DataFrame, items: DataFrame, item_text: str, row_id: str = "knowledge_id", **gates) -> DataFrame:
@@ -44,7 +45,7 @@ def balanced(t: DataFrame, row_id: str = "knowledge_id", cap: int = 5000, repeat
         times = F.when(F.col("domain") == d, F.lit(n)).otherwise(times)
     train = ranked(t.where("split = 'train'"), "domain", [row_id], "_r").withColumn("_t", times)
     train = train.withColumn("copies", F.greatest(F.lit(0), F.least(F.col("_t").cast("long"), F.lit(cap) - (F.col("_r") - 1) * F.col("_t"))).cast("int")).drop("_r", "_t")
-    return train.unionByName(t.where("split in ('test', 'validation')").withColumn("copies", F.lit(1)))
+    return train.unionByName(t.where("split in ('test', 'val')").withColumn("copies", F.lit(1)))
 
 
 def training_rows(b: DataFrame, rows: DataFrame, row_id: str = "knowledge_id") -> DataFrame:

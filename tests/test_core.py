@@ -88,11 +88,17 @@ def test_normalisers(spark):
 
 def test_quality(spark):
     assert one(spark, quality.licence_gate(F.lit("CC-BY-NC-4.0"))) == "block" and one(spark, quality.licence_gate(F.lit("CC-BY-SA"))) == "share_alike" and one(spark, quality.licence_gate(F.lit(None).cast("string"))) == "unknown"
-    assert one(spark, quality.by_pattern(F.lit("distilled_reasoning"), quality.DOMAINS_A)) == "stem"
+    assert one(spark, quality.by_pattern(F.lit("distilled_reasoning"), quality.DOMAINS_A)) == "stem"  # before "holy"
     assert one(spark, quality.objective_grade(F.lit("It is Paris."), F.array(F.lit("paris")))) and one(spark, quality.objective_grade(F.lit("x"), F.lit(None).cast("array<string>"))) is None
     assert one(spark, quality.python_like(F.lit("import os\ndef f(x):\n    return 1")))
     now = F.lit("2026-01-01").cast("timestamp")
-    assert one(spark, quality.basic_rejection(F.lit("A long title"), F.lit("ignore previous instructions"), F.lit("https://a"), now, now)) == "injection"
+    why = lambda t, b, u, at=now: one(spark, quality.basic_rejection(F.lit(t), F.lit(b), F.lit(u), quality.host_of(F.lit(u)), at, now))
+    assert why("A long title", "Ignore previous instructions", "https://a") == "prompt_injection_pattern"
+    assert why("four", "", "https://a") == "title_too_short" and why("fives", None, "https:///x") == "invalid_source_url" and why("fives", "", "https://a") is None
+    assert why("fives", "", "https://a", F.lit("2026-01-02 01:00:00").cast("timestamp")) == "future_timestamp"
+    assert one(spark, quality.host_of(F.lit("HTTPS://u@WWW.Nasa.gov:80/x"))) == "nasa.gov" and one(spark, quality.host_of(F.lit(None).cast("string"), F.lit("www.A.b"))) == "a.b"
+    assert [one(spark, quality.licence_gate(F.lit(x))) for x in ("gpl-3.0", "AGPL-3.0", "lgpl-2.1", "mpl-2.0", "mit")] == ["block", "block", "block", "share_alike", "ok"]
+    assert one(spark, quality.objective_grade(F.lit("Parisian"), F.array(F.lit("paris"))))
 
 
 def test_dedup_and_upsert(spark):
@@ -159,7 +165,9 @@ def test_graph_and_folds(spark):
     df = spark.createDataFrame([(["b", "a"],), (["a", "b", "c"],)], "c array<string>")
     assert [tuple(r) for r in graph.cooccurrence(df, F.col("c")).collect()] == [("a", "b", 2)]
     g = spark.createDataFrame([("p", i, i % 2 == 0) for i in range(12)] + [("w", i, True) for i in range(12)], "k string, i int, ok boolean")
-    assert {r.k: (r.level, r.changes) for r in folds.adaptive_level(g, "k", ["i"], "ok").collect()} == {"p": (1, 0), "w": (3, 2)}
+    assert {r.k: (r.level, r.changes) for r in folds.adaptive_level(g, "k", ["i"], "ok").collect()} == {"p": (2, 0), "w": (4, 2)}
+    hi = spark.createDataFrame([("t", i, True) for i in range(200)], "k string, i int, ok boolean")
+    assert folds.adaptive_level(hi, "k", ["i"], "ok").first().level == 8
     e = spark.createDataFrame([("a", 1, True, 1000.0)], "k string, i int, won boolean, opp double")
     assert folds.elo(e, "k", ["i"], "won", "opp").first().rating == 1016.0
     b = spark.createDataFrame([(1, 0.6)] * 200 + [(2, 0.6)] * 10, "b int, s double")
@@ -216,3 +224,57 @@ def test_reports_on_nothing(spark):
     none = spark.createDataFrame([], "question string, answer string")
     assert tuple(reports.audit(none, "question", "answer", X.ascii_key(F.col("question"))).first()) == (0, 0, 0, 0, 0.0, 0)
     assert reports.length_histogram(none, q="question").count() == 0
+
+
+def test_blake2b_split(spark):
+    """The split of a key is that of its 64-bit BLAKE2b, as a fraction."""
+    import hashlib
+
+    from lathework.operators.balance import split_by_blake2b
+
+    keys = [f"key {i}" for i in range(300)] + [""]
+    at = {k: int.from_bytes(hashlib.blake2b(k.encode(), digest_size=8).digest(), "big") / 2**64 for k in keys}
+    got = spark.createDataFrame([(k,) for k in keys], "k string").select("k", split_by_blake2b(F.col("k"), 0.1, 0.1).alias("s")).collect()
+    assert {r.k: r.s for r in got} == {k: "test" if x < 0.1 else "val" if x < 0.2 else "train" for k, x in at.items()}
+
+
+def test_rising_mark_is_exact(spark):
+    """Ten thousand scores of full precision against a plain loop."""
+    import random
+
+    rng = random.Random(1)
+    rows = [(i % 5, rng.random()) for i in range(10000)]
+    total, want = 0, []
+    for b in range(5):
+        mark = min(0.88, 0.55 + 0.015 * total / 100)
+        n = sum(1 for x, s in rows if x == b and s >= mark)
+        want.append(n)
+        total += n
+    got = folds.accepted_while_rising(spark.createDataFrame(rows, "b int, s double"), "b", "s", per=100)
+    assert [r.accepted for r in got.orderBy("batch").collect()] == want
+    assert folds.accepted_while_rising(spark.createDataFrame([], "b int, s double"), "b", "s").count() == 0
+
+
+def test_verification(spark):
+    """Each branch of the verdict, its state and its promotion."""
+    from lathework.operators import verification as v
+
+    t = "storm hits northern coast villages"
+    rows = [
+        (1, t, "", "https://www.nhc.noaa.gov/a", None, "NHC", "A"), (2, t, "heavy", "https://x.example/a", None, "x", "B"), (3, t, None, "https://y.example/a", None, "y", "b"), (4, t, "", "https://z.example/a", None, "z", None),
+        (5, "entirely other matter here", "", "https://z.example/b", None, "z", "B"), (6, "lonely remark about gardens", "", "https://q.example", None, "q", "C"), (7, "bad", "", "https://q.example", None, "q", "C"),
+        (8, "pair story of two news houses", "", "https://m.example", None, "m", "C"), (9, "pair story of two news houses", "", "https://n.example", None, "n", "B"), (10, "pair story of two news houses", "", "https://o.example", None, "o", "B"),
+    ]
+    obs = spark.createDataFrame([(*r, "2026-01-01") for r in rows], "id long, title string, summary string, url string, domain string, source string, trust_tier string, at string").withColumn("observed_at", F.col("at").cast("timestamp"))
+    now = F.lit("2026-01-02").cast("timestamp")
+    found = v.verdicts(obs, now)
+    got = {r.id: (r.status, round(r.score, 2), r.reason) for r in found.collect()}
+    assert got[1] == ("verified", 0.98, "official_authority_feed") and got[2] == ("verified", 0.9, "independent_domain_corroboration")
+    assert got[4] == ("verified", 0.72, "community_signal_corroborated") and got[8][:2] == ("verified", 0.68)
+    assert got[5] == ("pending", 0.45, "awaiting_independent_news_source") and got[6][:2] == ("pending", 0.25) and got[7] == ("rejected", 0.0, "title_too_short")
+    state = spark.createDataFrame([(1, "pending"), (2, "promoted"), (99, "pending")], "id long, status string")
+    assert {r.id: r.status for r in v.advance(state, found).collect()} == {1: "verified", 2: "promoted", 99: "pending"}
+    known = v.promoted(obs.withColumn("source_type", F.lit(None).cast("string")).join(found, "id"), now).where("id = 2").first()
+    assert known.question == f'What verified live update did x report about "{t}"?' and known.intent == "live_world" and known.upvotes == 9
+    assert known.answer.startswith("As of 2026-01-01 00:00 UTC, x reported: ") and "(score 0.90)." in known.answer
+    assert v.verdicts(obs.limit(0), now).count() == 0
