@@ -23,8 +23,16 @@ def norm(text: str | None) -> str:
     return _FORMAT.sub("", unicodedata.normalize("NFKC", text)).lower()
 
 
+# the same for texts as ``_ASCII`` below for bytes
+_ASCII_TEXT = {i: chr(i + 32) if 65 <= i <= 90 else chr(i) if 48 <= i <= 57 or 97 <= i <= 122 else " " for i in range(128)}
+
+
 def words(text: str | None) -> list[str]:
     """The longest runs of letters, marks and digits."""
+    if not text:
+        return []
+    if text.isascii():
+        return text.translate(_ASCII_TEXT).split()
     return _WORD.findall(norm(text))
 
 
