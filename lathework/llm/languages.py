@@ -43,7 +43,7 @@ def _bare(sentence: str) -> str:
     """What is classified of a sentence: letters, without quoted terms."""
     s = unicodedata.normalize("NFKC", sentence)
     t = _QUOTED.sub(" ", s)
-    if len(_OTHER.sub(" ", t).split()) < 3:  # all of it is quoted
+    if t != s and len(_OTHER.sub(" ", t).split()) < 3:  # all of it is quoted
         t = s
     return _OTHER.sub(" ", t.lower()).strip()
 
@@ -164,31 +164,31 @@ class LanguageModel:
 
         A sentence keeps the language of its text unless another is nearer by more than ``margin``, and
         sentences of fewer than three words or of no known language follow their text. Confidence is the
-        lead over the second language, as a share of the best cosine.
+        lead of that language over the next one, as a share of the best cosine; 0 where another is as near or nearer.
         """
         flat = [s for t in texts for s in t]
-        sc = self.scores(flat) if flat else np.empty((0, len(self.names)))
+        if not flat:
+            return [[] for _ in texts]
+        sc = self.scores(flat)
         size = np.array([len(words(s)) for s in flat])
+        best, near = sc.max(1), sc.argmax(1)
+        second = np.sort(np.c_[np.full(len(sc), -1.0), sc], 1)[:, -2]
+        sure = np.where(best > 0, 1 - np.maximum(second, 0) / np.maximum(best, 1e-6), 0).astype(float).round(4).tolist()
+        some, long = best > 0, size >= 3
         out, at = [], 0
         for t in texts:
-            s, n = sc[at : at + len(t)], size[at : at + len(t)]
+            here = slice(at, at + len(t))
             at += len(t)
-            known = (s.max(1) > 0) & (n >= 3) if len(t) else np.empty(0, bool)
+            known = some[here] & long[here]
             if not known.any():
-                known = s.max(1) > 0 if len(t) else known
+                known = some[here]
             if not known.any():
                 out.append([(None, 0.0)] * len(t))
                 continue
-            main = int(np.argmax((np.maximum(s[known], 0) * n[known, None]).sum(0)))
-            two = np.sort(np.c_[np.full(len(s), -1.0), s], 1)
-            sure = np.where(two[:, -1] > 0, 1 - np.maximum(two[:, -2], 0) / np.maximum(two[:, -1], 1e-6), 0)
-            got = []
-            for i in range(len(t)):
-                j = int(s[i].argmax())
-                if not known[i] or s[i, j] - s[i, main] <= margin:
-                    j = main
-                got.append((self.names[j], round(float(sure[i]), 4)))
-            out.append(got)
+            s = sc[here]
+            main = int(np.argmax((np.maximum(s[known], 0) * size[here][known, None]).sum(0)))
+            stays = ~known | (best[here] - s[:, main] <= margin)
+            out.append([(self.names[main], x if j == main else 0.0) if m else (self.names[j], x) for j, m, x in zip(near[here].tolist(), stays.tolist(), sure[here])])
         return out
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 
 import pyarrow as pa
@@ -158,43 +159,44 @@ def core_of(c: Column) -> Column:
 
 
 def _neighbours(batches):
-    """Of distinct sorted texts: what follows where a text is the beginning of its successor.
+    """Of distinct sorted texts: what follows where a text is the beginning of its successor, by the text's key.
 
     The first and the last text of the partition are given too, for its neighbours.
     """
     from pyspark import TaskContext
 
-    part, last, first = TaskContext.get().partitionId(), None, None
-    make = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.string(), pa.string(), pa.int32(), pa.string()))], ["core", "follows", "part", "edge"])
+    part, last = TaskContext.get().partitionId(), None
+    key = lambda t: hashlib.md5(t.encode()).hexdigest()
+    make = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.string(), pa.string(), pa.int32(), pa.string(), pa.string()))], ["key", "follows", "part", "edge", "core"])
     for b in batches:
         rows = []
         for t in b.column(0).to_pylist():
             if last is None:
-                rows.append((t, None, part, "first"))
+                rows.append((key(t), None, part, "first", t))
             elif t.startswith(last):
-                rows.append((last, t[len(last) : len(last) + 8], part, None))
+                rows.append((key(last), t[len(last) : len(last) + 8], part, None, None))
             last = t
         yield make(rows)
     if last is not None:
-        yield make([(last, None, part, "last")])
+        yield make([(key(last), None, part, "last", last)])
 
 
 def continued_answers(df: DataFrame, answer_col: str) -> DataFrame:
-    """(core, follows, stopped): answers by their core, with the signs that follow where another answer goes on, and
-    whether one of the answers of this core ends with a stop.
+    """(key, follows, stopped): answers by the MD5 of their core, with the signs that follow where another answer goes on,
+    and whether one of the answers of this core ends with a stop.
 
     Distinct cores (collapsed by partial aggregation first) are range-sorted by text; a text is the beginning of any other
     just when it is the beginning of its successor, so each is compared with its neighbour only. The last text of a partition is
-    compared with the first of the next.
+    compared with the first of the next. Beyond the sort texts are named by their keys.
     """
     rows = df.where(F.col(answer_col).isNotNull()).select(core_of(F.col(answer_col)).alias("core"), F.col(answer_col).rlike(r"(?<![.…])[.!?।॥。！？．][\"”»'’*_)\]]*\s*$").alias("stopped"))
     cores = materialise(rows.where("core <> ''").groupBy("core").agg(F.bool_or("stopped").alias("stopped")), "cores")
-    near = materialise(cores.select("core").repartitionByRange("core").sortWithinPartitions("core").mapInArrow(_neighbours, "core string, follows string, part int, edge string"), "neighbours")
+    near = materialise(cores.select("core").repartitionByRange("core").sortWithinPartitions("core").mapInArrow(_neighbours, "key string, follows string, part int, edge string, core string"), "neighbours")
     edges = near.where("edge is not null")  # two rows for each partition
     order = Window.orderBy("part", F.when(F.col("edge") == "first", 0).otherwise(1))
     over = edges.withColumn("next", F.lead("core").over(order)).where("edge = 'last' and startswith(next, core)")
-    follows = near.where("edge is null").select("core", "follows").union(over.select("core", F.expr("substring(next, length(core) + 1, 8)")))
-    return cores.join(follows, "core", "left").select("core", "follows", "stopped")
+    follows = near.where("edge is null").select("key", "follows").union(over.select("key", F.expr("substring(next, length(core) + 1, 8)")))
+    return cores.select(F.md5("core").alias("key"), "stopped").join(follows, "key", "left").select("key", "follows", "stopped")
 
 
 def length_limits(df: DataFrame, answer_col: str, least: int = 30, ratio: float = 8.0) -> list[int]:
@@ -224,8 +226,11 @@ def broken_pairs(df: DataFrame, id_col: str, question_col: str, answer_col: str,
     endings = endings or fit_endings(df, id_col, answer_col)
     src = df.select(F.col(id_col).alias("id"), F.col(question_col).alias("q"), F.col(answer_col).alias("a")).where("id is not null")
     limits = set(length_limits(src, "a"))
-    src = src.withColumn("core", core_of(F.col("a")))
-    joined = src.join(continued_answers(src, "a"), "core", "left").select("id", "q", "a", "follows", "stopped")
+    core = core_of(F.col("a"))
+    keyed = src.withColumn("key", F.md5(F.when(core != "", core)))
+    joined = keyed.where("key is not null").join(continued_answers(src, "a"), "key", "left").select("id", "q", "a", "follows", "stopped")
+    # null and blank answers have no core and stay out of the join
+    joined = joined.union(keyed.where("key is null").select("id", "q", "a", F.lit(None).cast("string"), F.lit(None).cast("boolean")))
     shared = spark.sparkContext.broadcast((languages, endings, limits))
     kind = df.schema[id_col].dataType.simpleString()
 
