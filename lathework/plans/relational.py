@@ -106,7 +106,7 @@ def stream_hops(s, d):
 
 
 def stream_profiles(s, d):
-    got = S.drain(S.profiles(S.table_stream(s, d, "events"), "user_id", "value", "event_type", "ts"), "update", "profiles")
+    got = S.drain(S.profiles(S.table_stream(s, d, "events"), "user_id", "value", "event_type", "ts"), "update", "profiles", ("user",))
     return got.select("user", "n", F.round("smoothed", 4).alias("smoothed"))
 
 

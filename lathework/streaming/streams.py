@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -24,15 +23,22 @@ def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """
     path = f"{folder}/{name}.parquet"
     schema = spark.read.parquet(path).schema
-    if os.path.isdir(path):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # the store that holds the table knows, not this machine
+    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
         df = read_stream(spark, path, schema)
     else:
         df = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     return df.withColumns({f.name: F.col(f.name).cast("timestamp") for f in schema if f.dataType.typeName() == "timestamp_ntz"})
 
 
-def drain(stream: DataFrame, mode: str = "append", name: str = "drain") -> DataFrame:
-    """Run a stream over what is there and give its result as a table in the work folder."""
+def drain(stream: DataFrame, mode: str = "append", name: str = "drain", keys: tuple[str, ...] = ()) -> DataFrame:
+    """Run a stream over what is there and give its result as a table in the work folder.
+
+    In complete mode the last batch is the result; in update mode a batch holds only the rows that changed, and the last row of each of
+    ``keys`` is.
+    """
+    if mode == "update" and not keys:
+        raise ValueError("update mode needs the keys of a row")
     spark = stream.sparkSession
     out, log = fresh_path(spark, name), fresh_path(spark, name + "-log")
     if mode == "append":
@@ -48,6 +54,9 @@ def drain(stream: DataFrame, mode: str = "append", name: str = "drain") -> DataF
     got = spark.read.schema(stream.schema.add("batch", "long")).parquet(out) if q.lastProgress else None
     if got is None:
         return spark.createDataFrame([], stream.schema)
+    if mode == "update":
+        newest = got.groupBy(*keys).agg(F.max_by(F.struct(*stream.columns), "batch").alias("_row"))
+        return newest.select("_row.*")
     last = got.agg(F.max("batch")).first()[0]
     return got.where(F.col("batch") == last).drop("batch")
 

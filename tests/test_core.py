@@ -278,3 +278,18 @@ def test_verification(spark):
     assert known.question == f'What verified live update did x report about "{t}"?' and known.intent == "live_world" and known.upvotes == 9
     assert known.answer.startswith("As of 2026-01-01 00:00 UTC, x reported: ") and "(score 0.90)." in known.answer
     assert v.verdicts(obs.limit(0), now).count() == 0
+
+
+def test_stream_over_several_batches(spark, tmp_path):
+    """Files that arrive one by one: a user of an early batch alone keeps its profile, and a folder of part files is read as one table."""
+    from lathework.streaming import streams
+
+    folder = tmp_path / "events.parquet"
+    for i, rows in enumerate([[(1, 2.0, "a", "2026-01-01"), (2, 4.0, "b", "2026-01-01")], [(1, 4.0, "c", "2026-01-02")], [(1, None, "d", "2026-01-03")]]):
+        df = spark.createDataFrame(rows, "user_id long, value double, event_type string, t string").withColumn("ts", F.col("t").cast("timestamp")).drop("t")
+        df.coalesce(1).write.mode("append").parquet(str(folder))
+    assert streams.table_stream(spark, str(tmp_path), "events").isStreaming
+    src = streams.read_stream(spark, str(folder), spark.read.parquet(str(folder)).schema, files_per_trigger=1)
+    got = streams.drain(streams.profiles(src, "user_id", "value", "event_type", "ts"), "update", "profiles", ("user",))
+    assert {r.user: r.n for r in got.collect()} == {1: 3, 2: 1}
+    assert {r.user: r.smoothed for r in got.collect()}[2] == 2.0
