@@ -60,12 +60,13 @@ def patterns_of(texts: list[tuple[int, str | None]], run: int = 8, least: int =
     return [p for p in (long, short) if p]
 
 
-def leaked_items(rows: DataFrame, id_col: str, text_col: str, items: DataFrame, item_id: str, item_cols: list[str], run: int = 8, least: int = 5, block: int = 20_000) -> DataFrame:
+def leaked_items(rows: DataFrame, id_col: str, text_col: str, items: DataFrame, item_id: str, item_cols: list[str], run: int = 8, least: int = 5, block: int = 20_000, chars: int = 8 << 20) -> DataFrame:
     """(item_id, id): each row whose text holds a run of ``run`` consecutive words of an item's text, or the
     whole of an item's text of ``least`` to ``run - 1`` words.
 
-    The rows are scanned where they lie; nothing is shuffled but the pairs found. Items are taken ``block`` at a time
-    (by item id), so the tables sent to the executors stay within that bound and more items mean more scans.
+    The rows are scanned where they lie; nothing is shuffled but the pairs found. Items are taken by the hash of their id in
+    blocks of about ``block`` items and ``chars`` signs of text (so of patterns: a text has fewer runs than signs), which bounds the tables sent to the
+    executors; more or longer items mean more scans. Parts shorter than ``run`` words, and texts of fewer than ``least``, are never searched.
     Null and empty texts hold nothing; items without an id are left out; items or rows that repeat an id
     count as one; no items or no rows give no pairs; further columns don't matter.
     """
@@ -73,7 +74,8 @@ def leaked_items(rows: DataFrame, id_col: str, text_col: str, items: DataFrame,
     kind = dict(rows.dtypes)[id_col]
     src = rows.select(F.col(id_col).alias("_row"), F.col(text_col).alias("_text")).where("_row is not null and _text is not null")
     its = items.select(F.col(item_id).alias("_item"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(item_cols)]).where("_item is not null")
-    blocks = max(1, -(-its.count() // block))
+    size = its.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length(F.concat_ws(" ", *its.columns[1:]))), F.lit(0)).alias("chars")).first()
+    blocks = max(1, -(-size.n // block), -(-size.chars // chars))
     out = None
     for b in range(blocks):
         part = its if blocks == 1 else its.where(F.pmod(F.xxhash64("_item"), F.lit(blocks)) == b)

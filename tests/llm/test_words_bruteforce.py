@@ -129,8 +129,8 @@ def test_leaks(spark):
     r = spark.createDataFrame(rows, "knowledge_id long, question string").withColumn("id", F.lit("clash"))
     i = spark.createDataFrame(items, "id string, question string, reference string")
     want = {("a", 1), ("a", 2), ("a", 7), ("b", 6)}
-    for block in (20_000, 1):
-        got = leaked_items(r, "knowledge_id", "question", i, "id", ["question", "reference"], block=block).collect()
+    for bound in ({}, {"block": 1}, {"chars": 40}):
+        got = leaked_items(r, "knowledge_id", "question", i, "id", ["question", "reference"], **bound).collect()
         assert {tuple(x) for x in got} == want and len(got) == 4
     assert leaked_items(r.limit(0), "knowledge_id", "question", i, "id", ["question"]).collect() == []
     assert leaked_items(r, "knowledge_id", "question", i.limit(0), "id", ["question"]).collect() == []
