@@ -212,6 +212,20 @@ def test_files_and_sinks(spark, tmp_path):
     assert mark == 9 and man.first().rows == 5 and sync.archive(df, "id", str(tmp_path / "arc"), 9)[0] == 9
 
 
+def test_tables_of_part_files(spark, tmp_path):
+    spark.range(7).repartition(3).write.parquet(str(tmp_path / "data" / "hot_vectors.parquet"))
+    spark.range(5).write.parquet(str(tmp_path / "data" / "daily_manifest.parquet"))
+    (tmp_path / "data" / "hot_vectors.parquet" / "_temporary").mkdir()
+    (tmp_path / "data" / "hot_vectors.parquet" / "_temporary" / "part-9.parquet").write_text("unfinished")
+    (tmp_path / "hot").symlink_to(tmp_path / "data")
+    for folder in (tmp_path / "data", tmp_path / "hot"):
+        got = files.read_any(spark, str(folder), contains="hot_vectors")
+        assert got.count() == 7 and files.read_any(spark, str(folder)).count() == 7
+        one = got.select("source_file").first().source_file
+        assert files.unread(got, got.where(F.col("source_file") == one)).count() == got.where(F.col("source_file") != one).count() < 7
+        assert files.read_any(spark, str(folder), contains="hot") is not None and files.read_any(spark, str(folder), contains="data") is None
+
+
 def test_feeds(spark):
     rss = "<rss><item><title><![CDATA[A &]]></title><link>http://x</link><description>d</description></item></rss>"
     atom = '<feed><entry><title>B</title><link rel="a" href="http://y"/><summary>s</summary></entry></feed>'
