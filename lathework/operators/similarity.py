@@ -2,33 +2,135 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+CELL = 1 << 21  # tokens of either side that a task holds
+MEETINGS = 1 << 19  # meetings that are looked at together
+CHECKED = 1 << 21  # tokens of pairs that are compared together
+
 
 def similar_in_band(df: DataFrame, id_col: str, tokens: Column, time_col: str, threshold: float = 0.42, hours: float = 96.0) -> DataFrame:
     """(a, b, similarity) for a < b: token sets with a Jaccard similarity of ``threshold`` within ``hours``.
 
-    Tokens are ordered by rarity and only the first of each row, as many as the threshold leaves room to miss, are
-    joined (prefix filter), within two neighbouring bands of time: pairs that can't reach the threshold seldom meet, and
-    none that reaches it is lost. Tokens that all rows share come last in the order, so they make no hot keys.
+    Rows are laid into cells: a band of time with what asks for it, the rows of the band itself and of the next one. A band of
+    more than ``CELL`` tokens is several cells, each with a part of its rows and a part of those that ask, so no task holds more than
+    twice that. In a cell tokens are ordered by rarity and only the first of each row, as many as the threshold leaves room to
+    miss, meet (prefix filter). A pair is in one cell and is decided there: only similar pairs leave it, none that reaches the
+    threshold is lost. Tokens are compared by 64 bits of hash.
     """
-    base = df.select(F.col(id_col).alias("id"), F.unix_timestamp(time_col).alias("t"), F.array_distinct(tokens).alias("set")).where("id is not null and t is not null and size(set) > 0")
-    df_ = base.select(F.explode("set").alias("tok")).groupBy("tok").agg(F.count("*").alias("n"))
-    pos = base.select("id", F.explode("set").alias("tok")).join(df_, "tok")
-    order = pos.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "tok"))).alias("o"))
-    rows = base.join(order, "id").withColumn("size", F.size("set"))
-    keep = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9).cast("int") + 1
     width = int(hours * 3600)
-    probe = rows.select("id", "t", "set", "size", F.explode(F.slice("o", 1, keep)).alias("x"), F.floor(F.col("t") / width).cast("long").alias("band"))
-    probe = probe.select("id", "t", "set", "size", "x.tok", "band")
-    a = probe.select(F.col("id").alias("a"), F.col("t").alias("ta"), F.col("size").alias("na"), "tok", F.explode(F.array("band", F.col("band") - 1, F.col("band") + 1)).alias("band"))
-    b = probe.select(F.col("id").alias("b"), F.col("t").alias("tb"), F.col("size").alias("nb"), "tok", "band")
-    met = a.join(b, ["tok", "band"]).where((F.col("a") < F.col("b")) & (F.abs(F.col("ta") - F.col("tb")) <= width) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9)).select("a", "b").distinct()
-    sa, sb = (rows.select(F.col("id").alias(x), F.col("set").alias("s" + x)) for x in "ab")
-    both = F.size(F.array_intersect("sa", "sb"))
-    sim = both / (F.size("sa") + F.size("sb") - both)
-    return met.join(sa, "a").join(sb, "b").select("a", "b", sim.alias("similarity")).where(F.col("similarity") >= threshold)
+    base = df.select(F.col(id_col).alias("id"), F.unix_timestamp(time_col).alias("t"), F.array_distinct(tokens).alias("set")).where("id is not null and t is not null and size(set) > 0")
+    base = base.select("id", "t", F.transform("set", lambda x: F.xxhash64(x)).alias("set"), F.floor(F.col("t") / width).cast("long").alias("band"))
+    sizes = base.groupBy("band").agg(F.sum(F.size("set")).alias("n")).where(F.col("n") > CELL // 2)
+    held = {r.band: r.n for r in sizes.collect()}  # at most a row for CELL / 2 tokens
+    parts = {j: -(-n // CELL) for j, n in held.items()}
+    # a band that isn't in ``held`` has CELL / 2 at most
+    asks = {j: -(-(held.get(j, CELL // 2) + held.get(j + 1, CELL // 2)) // CELL) for j in held.keys() | {j - 1 for j in held}}
+
+    def of(x: dict[int, int], band: str) -> str:
+        x = {j: n for j, n in x.items() if n > 1}
+        return f"coalesce(element_at(map({', '.join(f'{j}L, {n}L' for j, n in sorted(x.items()))}), {band}), 1L)" if x else "1L"
+
+    rows = base.withColumns({"g": F.expr(f"pmod(xxhash64(id, 1), {of(parts, 'band')})"), "s": F.expr(f"pmod(xxhash64(id, 2), {of(asks, 'band')})"), "r": F.expr(f"pmod(xxhash64(id, 2), {of(asks, 'band - 1')})")})
+    cell = lambda band, g, s, side: f"struct({band} as band, {g} as g, {s} as s, cast({side} as tinyint) as side)"
+    up_to = lambda n: f"sequence(0L, {n} - 1)"
+    cells = F.expr(
+        f"concat(transform({up_to(of(asks, 'band'))}, i -> {cell('band', 'g', 'i', 'if(i = s, 3, 1)')}), transform(filter({up_to(of(parts, 'band'))}, i -> i <> g), i -> {cell('band', 'i', 's', '2')}), "
+        f"transform({up_to(of(parts, 'band - 1'))}, i -> {cell('band - 1', 'i', 'r', '2')}))"
+    )
+    laid = rows.select("id", "t", "set", F.explode(cells).alias("c")).select("c.*", "id", "t", "set")
+    kind = base.schema["id"].dataType.simpleString()
+    return laid.groupBy("band", "g", "s").applyInArrow(_similar(threshold, width), f"a {kind}, b {kind}, similarity double")
+
+
+def _similar(threshold: float, width: int):
+    """Of a cell's rows (id, t, set, side: 1 is asked, 2 asks, 3 both) the similar pairs."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        cell = cell.take(pc.sort_indices(cell, [("t", "ascending"), ("id", "ascending")])).combine_chunks()  # a row asks those before it
+        ids, t, side = cell["id"], cell["t"].to_numpy(), cell["side"].to_numpy()
+        found = list(_pairs(cell["set"], t, side, threshold, width))
+        x, y, like = (np.concatenate([f[i] for f in found]) if found else np.empty(0, k) for i, k in enumerate((np.int64, np.int64, float)))
+        u, v = ids.take(pa.array(x)), ids.take(pa.array(y))
+        up = pc.less(u, v)
+        got = pa.table({"a": pc.if_else(up, u, v), "b": pc.if_else(up, v, u), "similarity": like})
+        return got.filter(pc.not_equal(u, v))  # an id that is repeated is no pair
+
+    return run
+
+
+def _pairs(sets: pa.ChunkedArray, t: np.ndarray, side: np.ndarray, threshold: float, width: int):
+    """(x, y, similarity) in arrays: rows y before x, by at most ``width``, that are similar; rows are in order of time."""
+    if not ((side & 1).any() and (side & 2).any()):
+        return
+    n = pc.list_value_length(sets).to_numpy().astype(np.int64)
+    starts = np.r_[0, np.cumsum(n)]
+    _, code, many = np.unique(pc.list_flatten(sets).to_numpy(), return_inverse=True, return_counts=True)
+    place = np.empty(len(many), np.int64)
+    place[np.argsort(many, kind="stable")] = np.arange(len(many))
+    row = np.repeat(np.arange(len(n)), n)
+    key = np.sort(row << 32 | place[code])
+    code = key & 0xFFFFFFFF  # of each row, rare ones first
+    bits = [np.bitwise_xor.reduceat(np.uint64(1) << (code.astype(np.uint64) * np.uint64(m) >> np.uint64(58)), starts[:-1]) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+    at = np.arange(len(code)) - starts[row]
+    near = at <= (n - np.ceil(n * threshold - 1e-9).astype(np.int64))[row]
+    row, code_, left = row[near], code[near], (n[row] - at)[near]
+
+    asked = np.flatnonzero(side[row] & 1)
+    asked = asked[np.argsort(code_[asked] << 32 | row[asked])]
+    post = code_[asked] << 32 | row[asked]
+    p_row, p_left, p_bits = row[asked], left[asked], [b[row[asked]] for b in bits]
+    # differing tokens that two rows may have, by their sizes: a share of the sum
+    room = (n * ((1 - threshold) / (1 + threshold)) + 1e-4).astype(np.float32)
+    p_room = room[p_row]
+
+    ask = np.flatnonzero(side[row] & 2)
+    a_row, a_code, a_left = row[ask], code_[ask], left[ask]
+    lo = np.searchsorted(post, a_code << 32 | np.searchsorted(t, t - width)[a_row])
+    many = np.searchsorted(post, a_code << 32 | a_row) - lo
+    ask = np.flatnonzero(many > 0)
+    a_row, a_code, a_left, lo, many = (v[ask] for v in (a_row, a_code, a_left, lo, many))
+    ends = np.cumsum(many)
+    i = 0
+    while i < len(ends):
+        done = ends[i - 1] if i else 0
+        j = max(i + 1, int(np.searchsorted(ends, done + MEETINGS, "right")))
+        m = many[i:j]
+        at = np.repeat(lo[i:j] - (ends[i:j] - m - done), m) + np.arange(m.sum())
+        own = a_row[i:j]
+        ok = np.flatnonzero(np.bitwise_count(np.repeat(bits[0][own], m) ^ p_bits[0][at]) <= np.repeat(room[own], m) + p_room[at])
+        at, e = at[ok], i + np.repeat(np.arange(j - i, dtype=np.int32), m)[ok]
+        x, y = a_row[e], p_row[at]
+        both = threshold / (1 + threshold) * (n[x] + n[y]) - 1e-6
+        # what follows the first shared token is all that they can share besides
+        ok = (np.minimum(a_left[e], p_left[at]) >= both) & (np.bitwise_count(bits[1][x] ^ p_bits[1][at]) <= room[x] + room[y])
+        yield from _checked(x[ok], y[ok], a_code[e[ok]], n, starts, code, threshold)
+        i = j
+
+
+def _checked(x: np.ndarray, y: np.ndarray, met: np.ndarray, n: np.ndarray, starts: np.ndarray, code: np.ndarray, threshold: float):
+    """Of the rows x and y that met under a token those that are similar and have it as their first in common: each pair once."""
+    ends = np.cumsum(n[x] + n[y])
+    i = 0
+    while i < len(x):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + CHECKED, "right")))
+        pair, of = np.r_[i:j, i:j], np.r_[x[i:j], y[i:j]]
+        size = n[of]
+        at = np.repeat(starts[of] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        key = np.sort(np.repeat(pair - i, size) << 32 | code[at])
+        same = key[1:][key[1:] == key[:-1]]
+        which = same >> 32
+        both = np.bincount(which, minlength=j - i)
+        first = np.full(j - i, -1)
+        first[which[::-1]] = same[::-1] & 0xFFFFFFFF
+        like = both / (n[x[i:j]] + n[y[i:j]] - both)
+        ok = (like >= threshold) & (first == met[i:j])
+        yield x[i:j][ok], y[i:j][ok], like[ok]
+        i = j
 
 
 def corroboration(n: Column) -> Column:
@@ -36,9 +138,14 @@ def corroboration(n: Column) -> Column:
     return F.when(n >= 1, F.least(F.lit(0.92), F.lit(0.78) + 0.04 * (n - 1))).otherwise(F.lit(0.45))
 
 
+def both_ways(pairs: DataFrame) -> DataFrame:
+    """(id, peer): each pair (a, b) from both sides, of one reading."""
+    return pairs.select(F.inline(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("peer")), F.struct(F.col("b").alias("id"), F.col("a").alias("peer")))))
+
+
 def peers(pairs: DataFrame, df: DataFrame, id_col: str, source_col: str) -> DataFrame:
     """(id, n_peers, n_sources): similar rows of each row, and distinct other sources among them."""
-    both = pairs.select(F.col("a").alias("id"), F.col("b").alias("peer")).union(pairs.select("b", "a"))
+    both = both_ways(pairs)
     src = df.select(F.col(id_col).alias("peer"), F.col(source_col).alias("peer_source"))
     own = df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"))
     got = both.join(src, "peer").join(own, "id").groupBy("id").agg(F.count("*").alias("n_peers"), F.countDistinct(F.when(~F.col("peer_source").eqNullSafe(F.col("source")), F.col("peer_source"))).alias("n_sources"))

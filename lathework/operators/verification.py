@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lathework.functions.text import strip
 from lathework.operators.quality import basic_rejection, host_of
-from lathework.operators.similarity import similar_in_band
+from lathework.operators.similarity import both_ways, similar_in_band
 
 # Authorities, by host (with everything below it) and by name.
 OFFICIAL_HOSTS = ["usgs.gov", "nasa.gov", "gsfc.nasa.gov", "noaa.gov", "esa.int", "isro.gov.in", "data.gov", "who.int", "cdc.gov", "nih.gov"]
@@ -47,7 +47,7 @@ def verdicts(obs: DataFrame, now: Column, threshold: float = 0.42, hours: float
     ).where("id is not null")
     o = o.withColumns({"official": (F.col("tier") == "A") & is_official(F.col("host"), F.col("source")), "reject": basic_rejection(F.col("title"), F.col("summary"), F.col("url"), F.col("host"), F.col("at"), now)})
     pairs = similar_in_band(o, "id", report_tokens(F.col("title"), F.col("summary")), "at", threshold, hours)
-    both = pairs.select(F.col("a").alias("id"), F.col("b").alias("peer")).union(pairs.select("b", "a"))
+    both = both_ways(pairs)
     named = o.select(F.col("id").alias("peer"), F.col("host").alias("peer_host"), F.col("tier").alias("peer_tier"), F.col("official").alias("peer_official"))
     other = F.when((F.col("peer_host") != "") & (F.col("peer_host") != F.col("host")), F.col("peer_host"))
     met = both.join(named, "peer").join(o.select("id", "host"), "id").groupBy("id").agg(
