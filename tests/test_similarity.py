@@ -50,3 +50,10 @@ def test_meetings_are_not_shuffled(spark):
     _, df = table(spark)
     plan = similarity.similar_in_band(df, "id", F.col("words"), "at")._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_pairs_are_found_once_for_both_sides(spark):
+    _, df = table(spark)
+    pairs = similarity.similar_in_band(df, "id", F.col("words"), "at")
+    plan = similarity.peers(pairs, df, "id", "source")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapGroupsInArrow") == 1
