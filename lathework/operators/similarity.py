@@ -23,8 +23,28 @@ def similar_in_band(df: DataFrame, id_col: str, tokens: Column, time_col: str, t
     threshold is lost. Tokens are compared by 64 bits of hash.
     """
     width = int(hours * 3600)
-    base = df.select(F.col(id_col).alias("id"), F.unix_timestamp(time_col).alias("t"), F.array_distinct(tokens).alias("set")).where("id is not null and t is not null and size(set) > 0")
-    base = base.select("id", "t", F.transform("set", lambda x: F.xxhash64(x)).alias("set"), F.floor(F.col("t") / width).cast("long").alias("band"))
+    laid = _laid(df, id_col, tokens, time_col, F.lit(None).cast("string"), width)
+    kind = laid.schema["id"].dataType.simpleString()
+    return laid.drop("label").groupBy("band", "g", "s").applyInArrow(_similar(threshold, width), f"a {kind}, b {kind}, similarity double")
+
+
+def peer_labels(df: DataFrame, id_col: str, tokens: Column, time_col: str, label: Column, threshold: float = 0.42, hours: float = 96.0) -> DataFrame:
+    """(id, n_peers, labels): of each row that ``similar_in_band`` pairs with others their number and their distinct labels (strings, null ones left out).
+
+    Pairs are counted in their cells. Rows of few tokens may have a large part of all rows as peers; what leaves a cell grows with
+    rows and their labels, not with pairs.
+    """
+    width = int(hours * 3600)
+    laid = _laid(df, id_col, tokens, time_col, label, width)
+    kind = laid.schema["id"].dataType.simpleString()
+    got = laid.groupBy("band", "g", "s").applyInArrow(_counted(threshold, width), f"id {kind}, n long, labels array<string>")
+    return got.groupBy("id").agg(F.sum("n").alias("n_peers"), F.array_distinct(F.flatten(F.collect_list("labels"))).alias("labels"))
+
+
+def _laid(df: DataFrame, id_col: str, tokens: Column, time_col: str, label: Column, width: int) -> DataFrame:
+    """(band, g, s, side, id, t, set, label): the rows of each cell."""
+    base = df.select(F.col(id_col).alias("id"), F.unix_timestamp(time_col).alias("t"), F.array_distinct(tokens).alias("set"), label.alias("label")).where("id is not null and t is not null and size(set) > 0")
+    base = base.select("id", "t", F.transform("set", lambda x: F.xxhash64(x)).alias("set"), "label", F.floor(F.col("t") / width).cast("long").alias("band"))
     sizes = base.groupBy("band").agg(F.sum(F.size("set")).alias("n")).where(F.col("n") > CELL // 2)
     held = {r.band: r.n for r in sizes.collect()}  # at most a row for CELL / 2 tokens
     parts = {j: -(-n // CELL) for j, n in held.items()}
@@ -42,18 +62,21 @@ def similar_in_band(df: DataFrame, id_col: str, tokens: Column, time_col: str, t
         f"concat(transform({up_to(of(asks, 'band'))}, i -> {cell('band', 'g', 'i', 'if(i = s, 3, 1)')}), transform(filter({up_to(of(parts, 'band'))}, i -> i <> g), i -> {cell('band', 'i', 's', '2')}), "
         f"transform({up_to(of(parts, 'band - 1'))}, i -> {cell('band - 1', 'i', 'r', '2')}))"
     )
-    laid = rows.select("id", "t", "set", F.explode(cells).alias("c")).select("c.*", "id", "t", "set")
-    kind = base.schema["id"].dataType.simpleString()
-    return laid.groupBy("band", "g", "s").applyInArrow(_similar(threshold, width), f"a {kind}, b {kind}, similarity double")
+    return rows.select("id", "t", "set", "label", F.explode(cells).alias("c")).select("c.*", "id", "t", "set", "label")
+
+
+def _timed(cell: pa.Table) -> pa.Table:
+    """In order of time: a row asks those before it."""
+    return cell.take(pc.sort_indices(cell, [("t", "ascending"), ("id", "ascending")])).combine_chunks()
 
 
 def _similar(threshold: float, width: int):
     """Of a cell's rows (id, t, set, side: 1 is asked, 2 asks, 3 both) the similar pairs."""
 
     def run(cell: pa.Table) -> pa.Table:
-        cell = cell.take(pc.sort_indices(cell, [("t", "ascending"), ("id", "ascending")])).combine_chunks()  # a row asks those before it
-        ids, t, side = cell["id"], cell["t"].to_numpy(), cell["side"].to_numpy()
-        found = list(_pairs(cell["set"], t, side, threshold, width))
+        cell = _timed(cell)
+        ids = cell["id"]
+        found = list(_pairs(cell, threshold, width))
         x, y, like = (np.concatenate([f[i] for f in found]) if found else np.empty(0, k) for i, k in enumerate((np.int64, np.int64, float)))
         u, v = ids.take(pa.array(x)), ids.take(pa.array(y))
         up = pc.less(u, v)
@@ -63,8 +86,35 @@ def _similar(threshold: float, width: int):
     return run
 
 
-def _pairs(sets: pa.ChunkedArray, t: np.ndarray, side: np.ndarray, threshold: float, width: int):
+def _counted(threshold: float, width: int):
+    """Of a cell's rows, with ``label``, the number of similar rows and their labels; rows without such rows are left out."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        cell = _timed(cell)
+        ids, rows = cell["id"].combine_chunks(), cell.num_rows
+        _, id_of = np.unique(pc.rank(ids, tiebreaker="dense").to_numpy(), return_inverse=True) if rows else (None, np.empty(0, np.int64))
+        coded = cell["label"].combine_chunks().dictionary_encode()
+        code = pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        n, seen = np.zeros(rows, np.int64), [np.empty(0, np.int64)]
+        for x, y, _ in _pairs(cell, threshold, width):
+            two = id_of[x] != id_of[y]  # an id that is repeated is no pair
+            x, y = np.r_[x[two], y[two]], np.r_[y[two], x[two]]
+            n += np.bincount(x, minlength=rows)
+            seen.append(np.unique((x << 32 | code[y])[code[y] >= 0]))
+            if len(seen) > 16:
+                seen = [np.unique(np.concatenate(seen))]
+        seen = np.unique(np.concatenate(seen))
+        at = np.flatnonzero(n)
+        ends = np.searchsorted(seen, np.r_[at << 32, rows << 32]).astype(np.int32)
+        labels = pa.ListArray.from_arrays(pa.array(ends), coded.dictionary.take(pa.array(seen & 0xFFFFFFFF)))
+        return pa.table({"id": ids.take(pa.array(at)), "n": n[at], "labels": labels})
+
+    return run
+
+
+def _pairs(cell: pa.Table, threshold: float, width: int):
     """(x, y, similarity) in arrays: rows y before x, by at most ``width``, that are similar; rows are in order of time."""
+    sets, t, side = cell["set"], cell["t"].to_numpy(), cell["side"].to_numpy()
     if not ((side & 1).any() and (side & 2).any()):
         return
     n = pc.list_value_length(sets).to_numpy().astype(np.int64)

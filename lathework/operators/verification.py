@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lathework.functions.text import strip
 from lathework.operators.quality import basic_rejection, host_of
-from lathework.operators.similarity import both_ways, similar_in_band
+from lathework.operators.similarity import peer_labels
 
 # Authorities, by host (with everything below it) and by name.
 OFFICIAL_HOSTS = ["usgs.gov", "nasa.gov", "gsfc.nasa.gov", "noaa.gov", "esa.int", "isro.gov.in", "data.gov", "who.int", "cdc.gov", "nih.gov"]
@@ -46,15 +46,14 @@ def verdicts(obs: DataFrame, now: Column, threshold: float = 0.42, hours: float
         "id", "title", "summary", "url", host_of(F.col("url"), F.col("domain")).alias("host"), "source", F.upper(F.coalesce("trust_tier", F.lit("C"))).alias("tier"), F.coalesce("observed_at", now).alias("at"),
     ).where("id is not null")
     o = o.withColumns({"official": (F.col("tier") == "A") & is_official(F.col("host"), F.col("source")), "reject": basic_rejection(F.col("title"), F.col("summary"), F.col("url"), F.col("host"), F.col("at"), now)})
-    pairs = similar_in_band(o, "id", report_tokens(F.col("title"), F.col("summary")), "at", threshold, hours)
-    both = both_ways(pairs)
-    named = o.select(F.col("id").alias("peer"), F.col("host").alias("peer_host"), F.col("tier").alias("peer_tier"), F.col("official").alias("peer_official"))
-    other = F.when((F.col("peer_host") != "") & (F.col("peer_host") != F.col("host")), F.col("peer_host"))
-    met = both.join(named, "peer").join(o.select("id", "host"), "id").groupBy("id").agg(
-        F.count("*").alias("n_peers"), F.count_distinct(other).alias("others"), F.bool_or("peer_official").alias("authority"),
-        F.count_distinct(F.when((F.col("peer_tier") == "B") & (F.col("peer_host") != ""), F.col("peer_host"))).alias("news"),
-    )
-    got = o.join(met, "id", "left").fillna({"n_peers": 0, "others": 0, "news": 0, "authority": False})
+    # what a verdict takes from a peer: its host, whether it is of tier B and whether it is an authority's
+    label = F.concat(F.when(F.col("tier") == "B", "B").otherwise("-"), F.when(F.coalesce("official", F.lit(False)), "A").otherwise("-"), F.coalesce("host", F.lit("")))
+    peers = peer_labels(o, "id", report_tokens(F.col("title"), F.col("summary")), "at", label, threshold, hours)
+    host = lambda x: F.substring(x, 3, 1 << 30)
+    others = F.array_distinct(F.transform(F.filter("labels", lambda x: (host(x) != "") & (host(x) != F.col("host"))), host))
+    news = F.array_distinct(F.transform(F.filter("labels", lambda x: x.startswith("B") & (host(x) != "")), host))
+    got = o.join(peers, "id", "left").withColumn("labels", F.coalesce("labels", F.array().cast("array<string>"))).fillna({"n_peers": 0})
+    got = got.withColumns({"others": F.size(others), "authority": F.exists("labels", lambda x: F.substring(x, 2, 1) == "A"), "news": F.size(news)})
     v = lambda status, score, reason: F.struct(F.lit(status).alias("status"), (score if isinstance(score, Column) else F.lit(score)).alias("score"), (reason if isinstance(reason, Column) else F.lit(reason)).alias("reason"))
     hosts = F.col("others") + 1  # its own among them
     tier_b = F.when(hosts >= 2, v("verified", F.least(F.lit(0.92), F.lit(0.78) + 0.04 * (hosts - 1)), "independent_domain_corroboration")).otherwise(v("pending", 0.45, "awaiting_independent_news_source"))

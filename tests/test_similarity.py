@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lathework.operators import similarity
+from lathework.operators import similarity, verification
 
 SCHEMA = "id long, at timestamp, words array<string>, source string"
 
@@ -57,3 +57,28 @@ def test_pairs_are_found_once_for_both_sides(spark):
     pairs = similarity.similar_in_band(df, "id", F.col("words"), "at")
     plan = similarity.peers(pairs, df, "id", "source")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FlatMapGroupsInArrow") == 1
+
+
+@pytest.mark.parametrize("cell", [1 << 21, 100])
+def test_peers_are_counted_in_their_cells(spark, monkeypatch, cell):
+    monkeypatch.setattr(similarity, "CELL", cell)
+    rows, df = table(spark)
+    df = df.where("id is not null and id <> 1").withColumn("source", F.expr("if(id % 5 = 0, null, source)"))
+    got = {r.id: (r.n_peers, {*r.labels}) for r in similarity.peer_labels(df, "id", F.col("words"), "at", F.col("source")).collect()}
+    want: dict = {}
+    for a, b, _ in brute([r for r in rows if r[0] != 1], 0.42, 96 * 3600):
+        for x, y in ((a, b), (b, a)):
+            n, s = want.get(x, (0, set()))
+            want[x] = n + 1, s | ({f"s{y % 3}"} if y % 5 else set())
+    assert want and got == want
+
+
+def test_verdicts_of_rows_that_are_all_alike(spark):
+    """A million pairs of 1,500 rows: none of them is a row of the plan."""
+    obs = spark.range(1500).selectExpr(
+        "id", "'storm warning coast' title", "'' summary", "concat('https://h', id % 3, '.org/x') url", "cast(null as string) domain", "'feed' source", "if(id % 2 = 0, 'B', 'C') trust_tier", "timestamp_seconds(id) observed_at"
+    )
+    found = verification.verdicts(obs, F.lit("2026-01-01").cast("timestamp"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapGroupsInArrow") == 1 and plan.count("Join") == 1
+    assert {(r.status, r.score, r.reason, r.n_peers) for r in found.collect()} == {("verified", 0.86, "independent_domain_corroboration", 1499), ("verified", 0.68, "community_signal_corroborated", 1499)}
