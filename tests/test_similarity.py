@@ -1,12 +1,15 @@
 """Similar rows within a band of time: against brute force, and that only similar pairs leave the task that finds them."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lathework.operators import similarity, verification
+from lathework.plans import catalog
 
-SCHEMA = "id long, at timestamp, words array<string>, source string"
+FOLDER = Path("/root/testdata/sf0.001")
 
 
 def table(spark, n=240, seed=7):
@@ -82,3 +85,9 @@ def test_verdicts_of_rows_that_are_all_alike(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FlatMapGroupsInArrow") == 1 and plan.count("Join") == 1
     assert {(r.status, r.score, r.reason, r.n_peers) for r in found.collect()} == {("verified", 0.86, "independent_domain_corroboration", 1499), ("verified", 0.68, "community_signal_corroborated", 1499)}
+
+
+@pytest.mark.skipif(not FOLDER.exists(), reason="no test tables")
+def test_promotion_looks_for_peers_once(spark):
+    plan = catalog.queries()["promotion"](spark, str(FOLDER))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapGroupsInArrow") == 1 and plan.count("Join") == 2  # of observations with their peers and with their verdicts
