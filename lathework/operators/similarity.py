@@ -200,3 +200,11 @@ def peers(pairs: DataFrame, df: DataFrame, id_col: str, source_col: str) -> Data
     own = df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"))
     got = both.join(src, "peer").join(own, "id").groupBy("id").agg(F.count("*").alias("n_peers"), F.countDistinct(F.when(~F.col("peer_source").eqNullSafe(F.col("source")), F.col("peer_source"))).alias("n_sources"))
     return own.select("id").join(got, "id", "left").select("id", F.coalesce("n_peers", F.lit(0)).alias("n_peers"), F.coalesce("n_sources", F.lit(0)).alias("n_sources"))
+
+
+def peer_counts(df: DataFrame, id_col: str, tokens: Column, time_col: str, source_col: str, threshold: float = 0.42, hours: float = 96.0) -> DataFrame:
+    """What ``peers`` finds of the pairs of ``similar_in_band``, counted in their cells: no pair is a row of the plan. Ids are unique."""
+    found = peer_labels(df, id_col, tokens, time_col, F.col(source_col).cast("string"), threshold, hours)
+    got = df.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source")).join(found, "id", "left")
+    others = F.size(F.filter("labels", lambda x: ~x.eqNullSafe(F.col("source"))))
+    return got.select("id", F.coalesce("n_peers", F.lit(0)).alias("n_peers"), F.when(F.col("labels").isNotNull(), others).otherwise(0).cast("long").alias("n_sources"))

@@ -91,3 +91,21 @@ def test_verdicts_of_rows_that_are_all_alike(spark):
 def test_promotion_looks_for_peers_once(spark):
     plan = catalog.queries()["promotion"](spark, str(FOLDER))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FlatMapGroupsInArrow") == 1 and plan.count("Join") == 2  # of observations with their peers and with their verdicts
+
+
+@pytest.mark.parametrize("cell", [1 << 21, 100])
+def test_peer_counts_equal_peers_of_pairs(spark, monkeypatch, cell):
+    monkeypatch.setattr(similarity, "CELL", cell)
+    _, df = table(spark)
+    df = df.where("id is null or id <> 1").withColumn("source", F.expr("if(id % 5 = 0, null, source)"))
+    pairs = similarity.similar_in_band(df, "id", F.col("words"), "at")
+    rows = lambda got: sorted(((r.id, r.n_peers, r.n_sources) for r in got.collect()), key=str)
+    got = similarity.peer_counts(df, "id", F.col("words"), "at", "source")
+    want = rows(similarity.peers(pairs, df, "id", "source"))
+    assert any(n for _, n, _ in want) and any(i is None for i, _, _ in want) and rows(got) == want
+
+
+@pytest.mark.skipif(not FOLDER.exists(), reason="no test tables")
+def test_pairs_of_peer_counts_stay_in_their_cells(spark):
+    plan = catalog.queries()["peer_counts"](spark, str(FOLDER))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapGroupsInArrow") == 1 and plan.count("Join") == 1 and "Generate explode" in plan and "Generate inline" not in plan
