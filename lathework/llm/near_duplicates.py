@@ -3,7 +3,8 @@
 The fingerprint of a text is 64 minwise symbols of 16 bits; its Hamming distance (symbols that differ) over 64
 estimates 1 - likeness. It is cut into 16 segments of 4 symbols; of each segment the ball of radius 1 in symbols is
 enumerated (the 4 keys that leave one symbol open), and rows that meet under a key are candidates. Their complete
-distances are computed, and the exact likeness of those that are near enough decides every link.
+distances are computed (by the low byte of each symbol, which only lets more through), and the exact likeness of those
+that are near enough decides every link.
 
 Rows of a likeness J meet in a segment with a probability of J**4 + 4 * J**3 * (1 - J), so a pair at the threshold of
 0.5 is found with 0.9975, one at 0.55 with 0.9997; frequent runs count like any other. What a large bucket leaves
@@ -37,7 +38,8 @@ def _prints(k: int):
             flat, starts = sh.sets(b.column(1).to_pylist())
             c1, c2 = class_ids(flat, starts)
             fp = signatures(flat, starts, SYMBOLS)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(c1), pa.array(c2), pa.array([r.tobytes() for r in fp], pa.binary())], ["id", "c1", "c2", "fp"])
+            hi, lo = (pa.array([r.tobytes() for r in x.astype(np.uint8)], pa.binary()) for x in (fp >> 8, fp & 0xFF))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(c1), pa.array(c2), hi, lo], ["id", "c1", "c2", "hi", "lo"])
 
     return run
 
@@ -53,9 +55,14 @@ def ball_keys(fp: np.ndarray) -> np.ndarray:
     return (keys | (table << 48)).reshape(len(fp), SYMBOLS)
 
 
+def _bytes(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SYMBOLS)
+
+
 def _keys(batches):
     for b in batches:
-        fp = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+        hi, lo = (_bytes(b.column(j)) for j in (1, 2))
+        fp = hi.astype(np.uint16) << 8 | lo
         ids = np.repeat(np.asarray(b.column(0)), SYMBOLS)
         keys = ball_keys(fp).reshape(-1)
         for at in range(0, len(keys), 1 << 17):
@@ -124,9 +131,9 @@ def _ended(batches):
 
 
 def _agreement(batches):
-    """Equal symbols of two fingerprints."""
+    """Equal low bytes of two fingerprints: no fewer than their equal symbols."""
     for b in batches:
-        x, y = (np.frombuffer(b"".join(b.column(j).to_pylist()), np.uint16).reshape(-1, SYMBOLS) for j in (2, 3))
+        x, y = (_bytes(b.column(j)) for j in (2, 3))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array((x == y).sum(1).astype(np.int16))], ["a", "b", "same"])
 
 
@@ -173,17 +180,17 @@ def near_duplicate_groups(df: DataFrame, id_col: str, text_cols: list[str], k: i
     """
     text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols])
     rows = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).where("id is not null")
-    prints = materialise(rows.mapInArrow(_prints(k), "id long, c1 long, c2 long, fp binary"), "prints")
+    prints = materialise(rows.mapInArrow(_prints(k), "id long, c1 long, c2 long, hi binary, lo binary"), "prints")
     classes = prints.groupBy("c1", "c2").agg(F.min("id").alias("rep"), F.max("id").alias("most")).where("most > rep").select("c1", "c2", "rep")
     copies = prints.select("id", "c1", "c2").join(classes, ["c1", "c2"]).where("id <> rep").select("id", "rep")
-    reps = materialise(prints.groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("fp").alias("fp")).select("id", "fp"), "classes")
+    reps = materialise(prints.groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("hi").alias("hi"), F.first("lo").alias("lo")).select("id", "hi", "lo"), "classes")
 
     # Agreement of two texts at the threshold has a deviation of half a symbol times sqrt(64); beyond four of them nothing is alike.
     low = int((threshold - 4 * (threshold * (1 - threshold) / SYMBOLS) ** 0.5) * SYMBOLS)
 
     def near(pairs: DataFrame) -> DataFrame:
-        """The pairs whose complete distance doesn't rule them out."""
-        fa, fb = (reps.select(F.col("id").alias(x), F.col("fp").alias("f" + x)) for x in "ab")
+        """The pairs whose distance, by the low bytes of all symbols, doesn't rule them out."""
+        fa, fb = (reps.select(F.col("id").alias(x), F.col("lo").alias("f" + x)) for x in "ab")
         got = pairs.join(fa, "a").join(fb, "b").select("a", "b", "fa", "fb").mapInArrow(_agreement, "a long, b long, same short")
         return materialise(got.where(F.col("same") >= low).select("a", "b"), "near")
 
@@ -194,8 +201,9 @@ def near_duplicate_groups(df: DataFrame, id_col: str, text_cols: list[str], k: i
     best = pairs.groupBy("b").agg(F.max(F.struct("n", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
     roots = components(_exact(rows, near(best), k, threshold))
     large = _spanning(met.where("again").select(F.col("a").alias("key"), F.col("b").alias("id")), roots)
-    rest = _across(pairs.select("a", "b"), roots).union(_pairs_within(large.where(F.col("n") <= WIDE))).distinct()
-    roots = components(roots.union(_exact(rows, near(rest), k, threshold)))
+    within = _near_within(large.where(F.col("n") <= WIDE), reps, low)
+    rest = materialise(near(_across(pairs.select("a", "b"), roots)).union(within).distinct(), "rest")
+    roots = components(roots.union(_exact(rows, rest, k, threshold)))
     wide = _spanning(large.where(F.col("n") > WIDE).select("key", "id"), roots)
     if not wide.isEmpty():
         roots = components(roots.union(_prefix_links(rows, wide.select("id", "root").distinct(), k, threshold)))
@@ -209,16 +217,57 @@ def _spanning(large: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, id, root, n): the rows of large buckets whose n rows aren't all in one component yet.
 
     A family of near duplicates, however large, is one component through the first row of its bucket and is left out.
+    Of buckets that hold the same rows (texts that agree in a whole segment meet under its 4 keys) one stays.
     """
     got = large.join(labels, large.id == labels.node, "left").select("key", "id", F.coalesce("root", "id").alias("root"))
-    keys = got.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("key", "n")
+    same = [F.expr(f"bit_xor(xxhash64(id, {i}))").alias(f"h{i}") for i in (1, 2)]
+    keys = got.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"), *same).where("lo < hi")
+    keys = keys.groupBy("h1", "h2", "n").agg(F.min("key").alias("key")).select("key", "n")
     return materialise(got.join(keys, "key"), "large")
 
 
-def _pairs_within(rows: DataFrame) -> DataFrame:
-    """(a, b): rows of one key and different components, for keys of at most ``WIDE`` rows."""
-    x, y = (rows.select("key", F.col("id").alias(c), F.col("root").alias("r" + c)) for c in "ab")
-    return x.join(y, "key").where("a < b and ra <> rb").select("a", "b")
+def _near_within(large: DataFrame, reps: DataFrame, low: int) -> DataFrame:
+    """(a, b): rows of one key and different components that agree in ``low`` symbols (by their low bytes), for keys of at most ``WIDE`` rows.
+
+    Fingerprints go to the rows of a bucket, not to its pairs: what is shuffled grows with rows, and only near pairs leave a bucket.
+    """
+    rows = large.select("key", "id", "root").join(reps, "id").select("key", "id", "root", "lo")
+    return rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_bucket_near(low), "a long, b long")
+
+
+def _bucket_near(low: int):
+    """Of rows (key, id, root, lo) sorted by key and id the near pairs of each key. The rows of the last key are kept for the next batch."""
+
+    def near(b: pa.RecordBatch) -> pa.RecordBatch:
+        key, ids, root = (np.asarray(b.column(j)) for j in range(3))
+        lo = _bytes(b.column(3))
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        out = [(np.empty(0, np.int64),) * 2]
+        for s, e in zip(first, np.r_[first[1:], len(key)]):
+            x = np.ascontiguousarray(lo[s:e].T)
+            same = np.zeros((e - s, e - s), np.uint8)
+            for symbol in x:
+                same += symbol[:, None] == symbol
+            x, y = np.nonzero(np.triu((same >= low) & (root[s:e, None] != root[s:e]), 1))
+            out.append((ids[s + x], ids[s + y]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["a", "b"])
+
+    def run(batches):
+        kept = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if kept is not None:
+                b = pa.Table.from_batches([kept, b]).combine_chunks().to_batches()[0]
+            key = np.asarray(b.column(0))
+            end = int(np.searchsorted(key, key[-1]))
+            if end:
+                yield near(b.slice(0, end))
+            kept = b.slice(end)
+        if kept is not None:
+            yield near(kept)
+
+    return run
 
 
 def _slots(threshold: float, packed):
