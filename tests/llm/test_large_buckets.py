@@ -5,6 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lathework.llm import near_duplicates as nd
+from lathework.llm.history import History, known_questions
 
 
 def test_near_pairs_of_buckets_equal_brute_force(spark):
@@ -39,3 +40,21 @@ def test_pairs_of_buckets_bring_no_fingerprints(spark):
     got = nd._near_within(large, reps, 16)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert got.count() == 780 and plan.count("Join") == 1 and plan.count("MapInArrow") == 1
+
+
+def test_days_that_are_there_together_are_asked_together(spark, monkeypatch):
+    """Six days and rows without one, ids against the order of days and a repeated one: the index is probed once, answers are those of days one by one."""
+    calls, probe = [], History.probe_and_add
+    monkeypatch.setattr(History, "probe_and_add", lambda self, *a, **k: calls.append(1) or probe(self, *a, **k))
+    text = lambda i: f"which quiet river {i} carries the old stone {i} past the mill"
+    rows = [(100 - 10 * day + i, day or None, text(i if i < day else 50 + 10 * day + i)) for day in range(6) for i in range(4)] + [(7, 5, text(900)), (7, 5, text(900))]
+    hist = spark.createDataFrame([(1, text(0))], "id long, q string")
+    batches = spark.createDataFrame(rows, "lesson long, day int, question string")
+    got = sorted(r.id for r in known_questions(hist, "id", "q", batches, "lesson", "day", "question").collect())
+    assert len(calls) == 1
+    want = []
+    for a in rows:
+        order = lambda r: (r[1] is not None, r[1] or 0, r[0])
+        if a[2] == text(0) or any(b[2] == a[2] and order(b) < order(a) for b in rows):
+            want.append(a[0])
+    assert want and got == sorted(want)
