@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 CELL = 1 << 21  # tokens of either side that a task holds
 MEETINGS = 1 << 19  # meetings that are looked at together
 CHECKED = 1 << 21  # tokens of pairs that are compared together
+PACKED = 1 << 21  # tokens that a task packs together on their way to the cells
 
 
 def similar_in_band(df: DataFrame, id_col: str, tokens: Column, time_col: str, threshold: float = 0.42, hours: float = 96.0) -> DataFrame:
@@ -23,9 +26,8 @@ def similar_in_band(df: DataFrame, id_col: str, tokens: Column, time_col: str, t
     threshold is lost. Tokens are compared by 64 bits of hash.
     """
     width = int(hours * 3600)
-    laid = _laid(df, id_col, tokens, time_col, F.lit(None).cast("string"), width)
-    kind = laid.schema["id"].dataType.simpleString()
-    return laid.drop("label").groupBy("band", "g", "s").applyInArrow(_similar(threshold, width), f"a {kind}, b {kind}, similarity double")
+    laid, kind = _laid(df, id_col, tokens, time_col, F.lit(None).cast("string"), width)
+    return laid.groupBy("band", "g", "s").applyInArrow(_similar(threshold, width), f"a {kind}, b {kind}, similarity double")
 
 
 def peer_labels(df: DataFrame, id_col: str, tokens: Column, time_col: str, label: Column, threshold: float = 0.42, hours: float = 96.0) -> DataFrame:
@@ -35,14 +37,14 @@ def peer_labels(df: DataFrame, id_col: str, tokens: Column, time_col: str, label
     rows and their labels, not with pairs.
     """
     width = int(hours * 3600)
-    laid = _laid(df, id_col, tokens, time_col, label, width)
-    kind = laid.schema["id"].dataType.simpleString()
+    laid, kind = _laid(df, id_col, tokens, time_col, label, width)
     got = laid.groupBy("band", "g", "s").applyInArrow(_counted(threshold, width), f"id {kind}, n long, labels array<string>")
-    return got.groupBy("id").agg(F.sum("n").alias("n_peers"), F.array_distinct(F.flatten(F.collect_list("labels"))).alias("labels"))
+    # by id as they come, alike next to each other: a partial aggregate would sort them, and their labels would take three times the bytes
+    return got.repartition("id").groupBy("id").agg(F.sum("n").alias("n_peers"), F.array_distinct(F.flatten(F.collect_list("labels"))).alias("labels"))
 
 
-def _laid(df: DataFrame, id_col: str, tokens: Column, time_col: str, label: Column, width: int) -> DataFrame:
-    """(band, g, s, side, id, t, set, label): the rows of each cell."""
+def _laid(df: DataFrame, id_col: str, tokens: Column, time_col: str, label: Column, width: int) -> tuple[DataFrame, str]:
+    """(band, g, s, rows, words, codes): the rows (side, id, t, set, label) of each cell, packed; and the type of id."""
     base = df.select(F.col(id_col).alias("id"), F.unix_timestamp(time_col).alias("t"), F.array_distinct(tokens).alias("set"), label.alias("label")).where("id is not null and t is not null and size(set) > 0")
     base = base.select("id", "t", F.transform("set", lambda x: F.xxhash64(x)).alias("set"), "label", F.floor(F.col("t") / width).cast("long").alias("band"))
     sizes = base.groupBy("band").agg(F.sum(F.size("set")).alias("n")).where(F.col("n") > CELL // 2)
@@ -62,7 +64,64 @@ def _laid(df: DataFrame, id_col: str, tokens: Column, time_col: str, label: Colu
         f"concat(transform({up_to(of(asks, 'band'))}, i -> {cell('band', 'g', 'i', 'if(i = s, 3, 1)')}), transform(filter({up_to(of(parts, 'band'))}, i -> i <> g), i -> {cell('band', 'i', 's', '2')}), "
         f"transform({up_to(of(parts, 'band - 1'))}, i -> {cell('band - 1', 'i', 'r', '2')}))"
     )
-    return rows.select("id", "t", "set", "label", F.explode(cells).alias("c")).select("c.*", "id", "t", "set", "label")
+    laid = rows.select("id", "t", "set", "label", F.explode(cells).alias("c")).select("c.*", "id", "t", "set", "label")
+    return laid.mapInArrow(_packed, "band long, g long, s long, rows binary, words binary, codes binary"), laid.schema["id"].dataType.simpleString()
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the rows of a task those of a cell together: a hash that is in many of them is written once."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += len(pc.list_flatten(batch["set"]))
+        if n >= PACKED:
+            yield _packs(pa.Table.from_batches(held))
+            held, n = [], 0
+    if n:
+        yield _packs(pa.Table.from_batches(held))
+
+
+def _packs(rows: pa.Table) -> pa.RecordBatch:
+    rows = rows.sort_by([(c, "ascending") for c in ("band", "g", "s", "id")]).combine_chunks()
+    at = [rows[c].to_numpy() for c in ("band", "g", "s")]
+    starts = np.flatnonzero(np.r_[True, np.any([x[1:] != x[:-1] for x in at], 0)])
+    packs = [_pack(rows.slice(i, j - i)) for i, j in zip(starts, np.r_[starts[1:], rows.num_rows], strict=True)]
+    return pa.record_batch([*(pa.array(x[starts]) for x in at), *(pa.array(x, pa.binary()) for x in zip(*packs, strict=True))], ["band", "g", "s", "rows", "words", "codes"])
+
+
+def _pack(cell: pa.Table) -> tuple[bytes, bytes, bytes]:
+    """Rows without their sets; the hashes of these, frequent ones first; of each row the places of its own, ascending, each less the one before."""
+    sets = cell["set"].combine_chunks()
+    n = pc.list_value_length(sets).to_numpy().astype(np.int64)
+    words, code, many = np.unique(pc.list_flatten(sets).to_numpy(), return_inverse=True, return_counts=True)
+    order = np.argsort(-many, kind="stable")
+    place = np.empty(len(many), np.int64)
+    place[order] = np.arange(len(many))
+    code = np.sort(np.repeat(np.arange(len(n)), n) << 32 | place[code]) & 0xFFFFFFFF
+    step = np.diff(code, prepend=0)
+    first = np.cumsum(n) - n
+    step[first] = code[first]
+    rows = pa.table({"side": cell["side"], "id": cell["id"], "t": cell["t"], "label": cell["label"].combine_chunks().dictionary_encode(), "n": pa.array(n, pa.int32())})
+    with pa.ipc.new_stream(to := pa.BufferOutputStream(), rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(rows)
+    codes = np.ascontiguousarray(step.astype("<u4").view(np.uint8).reshape(-1, 4).T)  # high bytes are mostly 0
+    return to.getvalue().to_pybytes(), words[order].tobytes(), pa.compress(codes, "zstd", asbytes=True)
+
+
+def _unpacked(cell: pa.Table) -> pa.Table:
+    """The rows (side, id, t, label, set) of a cell, of all its packs."""
+    got = []
+    for pack in cell.select(["rows", "words", "codes"]).to_pylist():
+        rows = pa.ipc.open_stream(pack["rows"]).read_all()
+        n = rows["n"].to_numpy().astype(np.int64)
+        ends = np.cumsum(n)
+        codes = np.frombuffer(pa.decompress(pack["codes"], 4 * int(ends[-1]), "zstd"), np.uint8)
+        step = np.ascontiguousarray(codes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+        code, first = np.cumsum(step), ends - n
+        code -= np.repeat(code[first] - step[first], n)
+        sets = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(np.frombuffer(pack["words"], np.int64)[code]))
+        got.append(pa.table({"side": rows["side"], "id": rows["id"], "t": rows["t"], "label": rows["label"].cast(pa.string()), "set": sets}))
+    return pa.concat_tables(got)
 
 
 def _timed(cell: pa.Table) -> pa.Table:
@@ -74,7 +133,7 @@ def _similar(threshold: float, width: int):
     """Of a cell's rows (id, t, set, side: 1 is asked, 2 asks, 3 both) the similar pairs."""
 
     def run(cell: pa.Table) -> pa.Table:
-        cell = _timed(cell)
+        cell = _timed(_unpacked(cell))
         ids = cell["id"]
         found = list(_pairs(cell, threshold, width))
         x, y, like = (np.concatenate([f[i] for f in found]) if found else np.empty(0, k) for i, k in enumerate((np.int64, np.int64, float)))
@@ -90,7 +149,7 @@ def _counted(threshold: float, width: int):
     """Of a cell's rows, with ``label``, the number of similar rows and their labels; rows without such rows are left out."""
 
     def run(cell: pa.Table) -> pa.Table:
-        cell = _timed(cell)
+        cell = _timed(_unpacked(cell))
         ids, rows = cell["id"].combine_chunks(), cell.num_rows
         _, id_of = np.unique(pc.rank(ids, tiebreaker="dense").to_numpy(), return_inverse=True) if rows else (None, np.empty(0, np.int64))
         coded = cell["label"].combine_chunks().dictionary_encode()
@@ -107,7 +166,10 @@ def _counted(threshold: float, width: int):
         at = np.flatnonzero(n)
         ends = np.searchsorted(seen, np.r_[at << 32, rows << 32]).astype(np.int32)
         labels = pa.ListArray.from_arrays(pa.array(ends), coded.dictionary.take(pa.array(seen & 0xFFFFFFFF)))
-        return pa.table({"id": ids.take(pa.array(at)), "n": n[at], "labels": labels})
+        # rows of the same labels next to each other: they compress well
+        mark = np.r_[0, np.cumsum(np.random.default_rng(0).integers(1 << 62, size=len(coded.dictionary))[seen & 0xFFFFFFFF])]
+        order = np.argsort(mark[ends[1:]] - mark[ends[:-1]], kind="stable")
+        return pa.table({"id": ids.take(pa.array(at)), "n": n[at], "labels": labels}).take(pa.array(order))
 
     return run
 
